@@ -6,17 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamella.llm.budget import budget, disagreeing
+from lamella.llm.encoding import decoded, encoded
+from lamella.llm.leakage import leaks
 from lamella.llm.longspans import shared_share, shared_span_pairs
 from lamella.llm.nearcopies import near_copy_pairs
+from lamella.llm.pieces import oversized, split
 from lamella.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return oversized(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
+
+
+def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return split(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_copy_pairs(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text", least=0.75)
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return disagreeing(table(spark, folder, "token_stats"), table(spark, folder, "chunks"))
+
+
+def p6_budget(spark: SparkSession, folder: str) -> DataFrame:
+    return budget(table(spark, folder, "documents"), table(spark, folder, "doc_labels"))
+
+
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return decoded(p8_ids(spark, folder), "doc_id")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+    return found.select("doc_id", "item_id")
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return shared_span_pairs(table(spark, folder, "documents").select("doc_id", "text", "added_at"), "doc_id", "text", "added_at")
 
