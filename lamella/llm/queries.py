@@ -12,6 +12,7 @@ from lamella.llm.leakage import leaks
 from lamella.llm.longspans import shared_share, shared_span_pairs
 from lamella.llm.nearcopies import near_copy_pairs
 from lamella.llm.pieces import oversized, split
+from lamella.llm.prose import not_prose, text_stats
 from lamella.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,14 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return not_prose(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text")
+
+
+def p4_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return text_stats(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text").distinct()
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_copy_pairs(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text", least=0.75)
 
