@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lamella.llm.budget import budget, disagreeing
 from lamella.llm.encoding import decoded, encoded
+from lamella.llm.language import Models, detected, mislabelled, train
 from lamella.llm.leakage import leaks
 from lamella.llm.longspans import shared_share, shared_span_pairs
 from lamella.llm.nearcopies import near_copy_pairs
@@ -46,6 +47,20 @@ def p6_budget(spark: SparkSession, folder: str) -> DataFrame:
     return budget(table(spark, folder, "documents"), table(spark, folder, "doc_labels"))
 
 
+def _models(spark: SparkSession, folder: str) -> Models:
+    """Fitted on the labelled rows of documents: 300 a label at most."""
+    return train(spark, table(spark, folder, "documents").select("text", "lang"), "text", "lang")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mislabelled(table(spark, folder, "cleaned_docs").select("doc_id", "text", "lang"), "doc_id", "text", "lang", _models(spark, folder))
+
+
+def p7_languages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "cleaned_docs").select("doc_id", "text", "lang")
+    return detected(rows, "doc_id", "text", "lang", _models(spark, folder)).distinct()
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(table(spark, folder, "documents"), "doc_id", "text")
 
