@@ -7,9 +7,9 @@ verified on its texts.
 
 The elements of a text are its distinct runs of `run` words; words are stretches without white space, lower-cased.
 
-Hot groups: texts that are equal in lower case are one class before anything is compared, so a group of copies costs
-one row however large it is, and is expanded only where a result asks for pairs of records. Bands with one class only
-are dropped by an aggregation of two longs a band before any join.
+Hot groups: texts that are equal are one class before anything is compared and a task signs a class once, so a group of
+copies costs a row or so a task however large it is, and is expanded only where a result asks for pairs of records. Bands
+with one class only are dropped by an aggregation of two longs a band, combined before the shuffle, before any join.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamella.llm import flat
+from lamella.session import written
 
 _U = np.uint64
 
@@ -55,7 +56,7 @@ def darts(elements: np.ndarray, weights: np.ndarray, row: np.ndarray, n_rows: in
         rank = np.zeros(len(own))
         most = limit[r]
         for a in range(1, 10_000):
-            h = flat.mix(s + _U(a) * _U(0x9FB21C651E98DF25))
+            h = flat.mix(s + _U(a * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF))
             rank = rank - np.log(((h >> _U(11)).astype(np.float64) + 1.0) * 2.0**-53) / t
             keep = rank < most
             if not keep.any():
@@ -82,12 +83,17 @@ def _words(cps: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def band_rows(run: int, rows: int, bands: int):
-    """An Arrow mapper: (class_id, text in lower case) to (band, class_id), `bands` rows for each text with a run of words."""
+    """An Arrow mapper: (class_id, text) to (band, class_id), `bands` rows for each text with a run of words; a class once a task."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi, cps, bounds in flat.blocks(batch.column(1)):
+            ids, first_at = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            new = np.array([i not in seen for i in ids.tolist()], bool)
+            ids, first_at = ids[new], first_at[new]
+            seen.update(ids.tolist())
+            texts = batch.column(1).take(pa.array(first_at)).to_pylist()
+            for lo, hi, cps, bounds in flat.blocks(pa.array([(t or "").lower() for t in texts], pa.string())):
                 words, row = _words(cps, bounds)
                 grams, first = flat.runs_of_words(words, row, run)
                 of = row[first]
@@ -116,7 +122,7 @@ def _distinct(grams: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def jaccard(a: str, b: str, run: int) -> float:
     """Distinct runs of words in both by those in either; 0 where neither has one."""
-    x, y = a.split(), b.split()
+    x, y = a.lower().split(), b.lower().split()
     s, t = ({tuple(w[i : i + run]) for i in range(len(w) - run + 1)} for w in (x, y))
     both = len(s & t)
     either = len(s) + len(t) - both
@@ -135,9 +141,9 @@ def _verify(run: int, least: float):
 
 
 def classes(records: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, class_id, text in lower case): records whose texts are equal in lower case share a class_id."""
-    low = records.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lower(F.col(text)).alias("low"))
-    return low.withColumn("class_id", F.xxhash64("low"))
+    """(key, class_id, text): records whose texts are equal share a class_id."""
+    own = records.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return own.withColumn("class_id", F.xxhash64("text"))
 
 
 def class_pairs(own: DataFrame, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24) -> DataFrame:
@@ -145,9 +151,10 @@ def class_pairs(own: DataFrame, least: float = 0.8, run: int = 5, rows: int = 4,
 
     A pair exactly at 0.75 agrees on no band with probability (1 - 0.75**4)**24 = 1e-4; at 0.8 it is 3e-6.
     """
-    banded = own.select("class_id", "low").mapInArrow(band_rows(run, rows, bands), "band bigint, class_id bigint").repartition("band")
+    # written once: the texts are signed once, and a lost executor costs no signature
+    banded = written(own.select("class_id", "text").mapInArrow(band_rows(run, rows, bands), "band bigint, class_id bigint"), "bands")
     shared = banded.groupBy("band").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi").select("band")
-    few = banded.join(shared, "band", "left_semi")
+    few = written(banded.join(shared, "band", "left_semi").distinct(), "shared-bands")
     a, b = few.select("band", F.col("class_id").alias("class_a")), few.select("band", F.col("class_id").alias("class_b"))
     pairs = a.join(b, "band").where("class_a < class_b").select("class_a", "class_b").distinct()
     return verified(pairs, own, least, run)
@@ -156,11 +163,11 @@ def class_pairs(own: DataFrame, least: float = 0.8, run: int = 5, rows: int = 4,
 def verified(pairs: DataFrame, own: DataFrame, least: float, run: int) -> DataFrame:
     """The pairs of classes that hold on the texts themselves; a text is fetched only where its class is in a pair."""
     asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).distinct()
-    texts = own.select("class_id", "low").join(asked, "class_id", "left_semi").dropDuplicates(["class_id"])
+    texts = own.select("class_id", "text").join(asked, "class_id", "left_semi").dropDuplicates(["class_id"])
     return (
-        pairs.join(texts.select(F.col("class_id").alias("class_a"), F.col("low").alias("low_a")), "class_a")
-        .join(texts.select(F.col("class_id").alias("class_b"), F.col("low").alias("low_b")), "class_b")
-        .select("class_a", "class_b", "low_a", "low_b")
+        pairs.join(texts.select(F.col("class_id").alias("class_a"), F.col("text").alias("text_a")), "class_a")
+        .join(texts.select(F.col("class_id").alias("class_b"), F.col("text").alias("text_b")), "class_b")
+        .select("class_a", "class_b", "text_a", "text_b")
         .mapInArrow(_verify(run, least), "class_a bigint, class_b bigint, similarity double")
     )
 
@@ -171,14 +178,12 @@ def near_copy_pairs(records: DataFrame, key: str, text: str, least: float = 0.8,
     Null keys and null texts give nothing, nor do texts with fewer words than a run. A row that comes again gives its
     pairs once. A key with several texts has a pair where any of its texts has.
     """
-    from lamella.session import written
-
     own = classes(records, key, text)
     found = written(class_pairs(own, least, run, rows, bands).select("class_a", "class_b"), "near-copies")
     members = own.select("key", "class_id").distinct()
     # whether a class has a run of words at all is seen on its text, for classes of several keys only
     several = members.groupBy("class_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("class_id")
-    enough = F.size(F.filter(F.split("low", flat.WHITE_CLASS + "+"), lambda w: w != "")) >= run
+    enough = F.size(F.filter(F.split("text", flat.WHITE_CLASS + "+"), lambda w: w != "")) >= run
     equal = own.join(several, "class_id", "left_semi").where(enough).select("class_id").distinct()
     links = found.unionByName(equal.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b")))
     a = members.select(F.col("key").alias("ka"), F.col("class_id").alias("class_a"))
