@@ -14,6 +14,7 @@ from lamella.llm.longspans import shared_share, shared_span_pairs
 from lamella.llm.nearcopies import near_copy_pairs
 from lamella.llm.pieces import oversized, split
 from lamella.llm.prose import not_prose, text_stats
+from lamella.llm.scanned import noise, repaired
 from lamella.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,15 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = noise(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", "line_no", "noise").distinct()
+
+
+def p3_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return not_prose(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text")
 
