@@ -85,9 +85,13 @@ def fingerprints(cps: np.ndarray, bounds: np.ndarray, width: int, least: int) ->
 
 def _postings(width: int, least: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of equal texts a task reads one
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi, cps, bounds in flat.blocks(batch.column(1)):
+            ids, first = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            new = np.array([i not in seen for i in ids.tolist()], bool)
+            ids, first = ids[new], first[new]
+            seen.update(ids.tolist())
+            for lo, hi, cps, bounds in flat.blocks(batch.column(1).take(pa.array(first))):
                 r, at, h, around, back, wide = fingerprints(cps, bounds, width, least)
                 small = [pa.array(x.astype(np.int32)) for x in (at, back, wide)]
                 yield pa.RecordBatch.from_arrays([pa.array(flat.signed(h)), pa.array(flat.signed(around)), pa.array(ids[lo:hi][r]), *small], ["hash", "around", "text_id", "pos", "back", "wide"])
@@ -109,35 +113,40 @@ class SpanIndex:
         """The fingerprints of (text_id bigint, text string)."""
         return texts.mapInArrow(_postings(self.width, self.least), POSTING)
 
-    def _write(self, level: int, rows: DataFrame) -> None:
+    def _write(self, level: int, rows: DataFrame) -> str:
         path = f"{self.path}/run-{self._made:06d}-level-{level}"
         self._made += 1
         rows.repartition("hash").sortWithinPartitions("hash").write.parquet(path)
-        self.runs.append((level, path))
+        return path
 
-    def append(self, postings: DataFrame) -> None:
-        """A batch becomes a run; then runs are compacted as far as needed."""
-        self._write(0, postings)
+    def run(self, postings: DataFrame) -> str:
+        """A batch of postings, laid out by hash and sorted: a run that isn't yet part of the index."""
+        return self._write(0, postings)
+
+    def append(self, run: str) -> None:
+        """The run joins the index; then runs are compacted as far as needed."""
+        self.runs.append((0, run))
         level = 0
         while len(same := [r for r in self.runs if r[0] == level]) >= self.fan:
             merged = self.spark.read.schema(POSTING).parquet(*[p for _, p in same])
             self.runs = [r for r in self.runs if r[0] != level]
-            self._write(level + 1, merged)
+            self.runs.append((level + 1, self._write(level + 1, merged)))
             level += 1
 
     def read(self) -> list[DataFrame]:
         return [self.spark.read.schema(POSTING).parquet(p) for _, p in self.runs]
 
-    def matches(self, new: DataFrame) -> DataFrame:
-        """Postings of a new batch (fresh) and of the runs before it (not fresh) whose hash the other side, or another new text, has.
+    def matches(self, run: str) -> DataFrame:
+        """Postings of a new run (fresh) and of the runs before it (not fresh) whose hash the other side, or another new text, has.
 
         One merge join a run, on the hash.
         """
+        new = self.spark.read.schema(POSTING).parquet(run)
         own = new.groupBy("hash").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
         known = [run.join(own.select("hash").hint("merge"), "hash", "left_semi") for run in self.read()]
         hashes = own.where("lo < hi").select("hash")
         for k in known:
-            hashes = hashes.unionByName(k.select("hash"))
+            hashes = hashes.unionByName(k.select("hash").distinct())
         out = new.join(hashes.distinct(), "hash", "left_semi").withColumn("fresh", F.lit(True))
         for k in known:
             out = out.unionByName(k.withColumn("fresh", F.lit(False)))
@@ -228,16 +237,15 @@ def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, le
     number = F.lit(0)
     for c in cuts or []:
         number = number + F.when(F.col("arrived").isNull() | (F.col("arrived") > c), 1).otherwise(0)
-    batch_of = base.select("text_id", number.alias("batch")).groupBy("text_id").agg(F.min("batch").alias("batch"))
-    postings = written(index.postings(texts).distinct().join(batch_of, "text_id"), "postings", ["batch"])
     met = None
     last = len(cuts or [])
     for i in range(last + 1):
-        part = postings.where(F.col("batch") == i).select("hash", "around", "text_id", "pos", "back", "wide")
-        now = index.matches(part).withColumn("batch", F.lit(i))
+        part = base.where(number == i) if last else base
+        run = index.run(index.postings(part.select("text_id", "text")))
+        now = index.matches(run).withColumn("batch", F.lit(i))
         met = now if met is None else met.unionByName(now)
         if i < last:
-            index.append(part)
+            index.append(run)
     met = written(met, "met")
     return members, met, class_links(met, texts, least, width, hot)
 
