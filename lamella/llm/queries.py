@@ -12,6 +12,7 @@ from lamella.llm.language import Models, detected, mislabelled, train
 from lamella.llm.leakage import leaks
 from lamella.llm.longspans import shared_share, shared_span_pairs
 from lamella.llm.nearcopies import near_copy_pairs
+from lamella.llm.personal import found_types, redacted
 from lamella.llm.pieces import oversized, split
 from lamella.llm.prose import not_prose, text_stats
 from lamella.llm.scanned import noise, repaired
@@ -20,6 +21,14 @@ from lamella.sources.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return found_types(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text", table(spark, folder, "pii_gold"))
+
+
+def p1_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return redacted(table(spark, folder, "chunks").select("chunk_id", "text").distinct(), "chunk_id", "text", table(spark, folder, "pii_gold"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return oversized(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
 
