@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,7 +84,7 @@ def left_terms(text: str, start: int) -> list[str]:
     if start > 40 and len(words) > 3:
         words = words[1:]
     words = ["#" if w[0].isdigit() else w.lower() for w in words[-3:]]
-    return ["<" + " ".join(words[i:]) for i in range(len(words))]
+    return ["<" + " ".join(words[i:]) for i in range(len(words)) if i < len(words) - 1 or words[-1] not in ":;#"]
 
 
 def right_terms(text: str, end: int) -> list[str]:
@@ -202,7 +202,11 @@ def candidates(text: str, old: int = 1995, cues: tuple[list[str], list[str]] = (
         value = m.group()
         if shouted and value.isupper() or any(x <= a < y for x, y in titled) or text[a - 1 : a].isalnum() or text[a - 1 : a] in "@._+" and a:
             continue
-        out.append(("PERSON_NAME", a, b, 0, left_terms(text, a) + right_terms(text, b) + ["=" + p.lower() for p in _parts(value)]))
+        left = left_terms(text, a)
+        # one initial at the beginning of a sentence is a question's or an item's mark
+        if not left and value[1] == "." and value.count(".") == 1:
+            continue
+        out.append(("PERSON_NAME", a, b, 0, left + right_terms(text, b) + ["=" + p.lower() for p in _parts(value)]))
         titled.append((a, b))
     if len(low) == len(text):
         found: dict[int, int] = {}
@@ -298,21 +302,23 @@ def disclosures(places: DataFrame, labels: DataFrame, support: int = 3) -> DataF
 
     rate is the share of protected places among those the term stands at: of the labelled ones where there are any, else of
     the corpus's, where a place is protected for certain by its own form; terms at fewer than `support` places and no
-    labelled one say nothing. bits is log2 of the rate against the shape's in the whole corpus.
+    labelled one say nothing, nor do terms without a labelled one where no place of the shape is ever certain. bits is log2 of the rate against the shape's in the whole corpus.
     """
     once = places.select("shape", "own", F.explode(F.array_distinct("terms")).alias("term"))
     counted = once.groupBy("shape", "term").agg(F.count("*").alias("n"), F.sum("own").alias("s"))
-    base = places.groupBy("shape").agg(((F.sum("own") + 1) / (F.count("*") + 2)).alias("base"))
-    both = counted.join(labels, ["shape", "term"], "full").fillna(0, ["n", "s", "lp", "ln"])
+    # one row a shape, of which there are eight
+    base = places.groupBy("shape").agg(((F.sum("own") + 1) / (F.count("*") + 2)).alias("base"), F.sum("own").alias("certain"))
+    both = counted.join(labels, ["shape", "term"], "full").fillna(0, ["n", "s", "lp", "ln"]).join(F.broadcast(base), "shape", "left")
     seen = F.col("lp") + F.col("ln")
-    rate = F.when(seen > 0, (F.col("lp") + 0.25) / (seen + 0.5)).otherwise(F.try_divide("s", "n"))
+    rate = F.when(seen > 0, (F.col("lp") + 0.25) / (seen + 0.5)).when(F.col("certain") > 0, F.try_divide("s", "n"))
     # a term that labelled texts have at other places only, but that certain places of the corpus have as well, is open
     rate = F.when((seen > 0) & (F.col("lp") == 0) & (F.col("s") * 5 >= F.col("n")) & ~F.col("term").startswith("="), F.try_divide("s", "n")).otherwise(rate)
+    # where certain places are many, a term that hardly ever stands at one is no sign, whatever a few labelled texts say
+    rate = F.when((F.col("certain") > 0) & (F.col("n") >= 20) & (F.try_divide("s", "n") < 0.02), F.try_divide("s", "n")).otherwise(rate)
     # a name's own words are in few labelled texts: the corpus says how often they come as names
     word = F.greatest(F.coalesce(F.try_divide("s", "n"), F.lit(0.0)), F.when(F.col("lp") > 0, F.col("lp") / (seen + 0.5)).otherwise(0.0))
     rate = F.when(F.col("term").startswith("="), word).otherwise(rate)
     told = both.where((F.col("n") >= support) | (seen > 0)).withColumn("rate", rate)
-    told = told.join(F.broadcast(base), "shape", "left")
     return told.select("shape", "term", "n", "rate", F.log2((F.col("rate") + 0.001) / F.coalesce("base", F.lit(0.5))).alias("bits"), "lp", "ln")
 
 
@@ -352,7 +358,7 @@ def protected_places(records: DataFrame, key: str, text: str, labelled: DataFram
     given = F.coalesce(ctx, F.lit(0.0))
     strong = F.greatest(F.coalesce(left, F.lit(0.0)), F.coalesce(right, F.lit(0.0)))
     own, no_token = F.col("own") == 1, F.coalesce("t_no", F.lit(0)) == 0
-    known_token = F.coalesce("t", F.lit(0.0))
+    known_token = F.coalesce("t", F.when(strong >= 0.3, 0.1).otherwise(0.0))
     behind = F.coalesce(right, F.lit(1.0)) >= 0.02
     rule = (
         F.when(F.col("shape") == "EMAIL", no_token & (F.coalesce(left, F.lit(1.0)) >= 0.3))
@@ -363,9 +369,13 @@ def protected_places(records: DataFrame, key: str, text: str, labelled: DataFram
         .when(F.col("shape") == "DATE", given >= 0.25)
         .when(F.col("shape") == "ADDRESS", F.when(own, F.coalesce(left, F.lit(1.0)) >= 0.1).otherwise(F.coalesce(left, F.lit(0.0)) >= 0.1))
         .when(own, F.coalesce("t_first", F.lit(0)) == 0)
-        .otherwise(no_token & behind & ((strong >= 0.1) & (known_token >= 0.08) | (known_token >= 0.2) & (F.col("t_n") >= 2)))
+        .otherwise(no_token & (behind & ((strong >= 0.1) & (known_token >= 0.08) | (known_token >= 0.2) & (F.col("t_n") >= 2)) | (F.coalesce(left, F.lit(0.0)) >= 0.3) & (F.coalesce("t", F.lit(0.1)) >= 0.08)))
     )
-    return seen.where(rule).select("key", "text_id", "shape", "start", "end", F.coalesce(ctx, F.lit(1.0)).alias("rate")).withColumnRenamed("key", key)
+    held = seen.where(rule).withColumn("rate", F.when((F.col("shape") == "PHONE") & own, 1.0).otherwise(F.coalesce(ctx, F.lit(0.5))))
+    # digits that could be several things are the one their words tell most of
+    best = Window.partitionBy("key", "text_id", "start", F.col("shape").isin("PHONE", "AADHAAR", "ACCOUNT_NUMBER")).orderBy(F.desc("rate"), "shape")
+    held = held.withColumn("rank", F.row_number().over(best)).where("rank = 1")
+    return held.select("key", "text_id", "shape", "start", "end", "rate").withColumnRenamed("key", key)
 
 
 def found_types(records: DataFrame, key: str, text: str, labelled: DataFrame) -> DataFrame:
