@@ -1,5 +1,79 @@
-"""SQL for the engine's own queries."""
+"""SQL for the engine's own queries, for DuckDB over the same tables. Character classes are spelled out alike on both sides."""
 
+from __future__ import annotations
 
-def oracle_sql():
-    return {}
+_S = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_NS = "[^" + _S[1:]
+_W = r"[\p{L}\p{N}_]"
+_WORDS = rf"list_filter(regexp_split_to_array(text, '{_S}+'), lambda w: w <> '')"
+_STRIP = rf"regexp_replace(%s, '^{_S}+|{_S}+$', '', 'g')"
+_LINES = rf"array_to_string(list_filter(string_split(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), chr(10)), lambda x: not regexp_matches(x, '^{_S}*\p{{Nd}}{{1,4}}{_S}*$')), chr(10))"
+_NORMAL = _STRIP % rf"regexp_replace(regexp_replace({_LINES}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
+
+_DOCS = "docs as (select cast(doc_id as varchar) doc_id, coalesce(source_file, 'doc_' || doc_id || '.pdf') source_file, coalesce(text, '') text, lang from documents)"
+_CLEAN = f"{_DOCS}, clean as (select doc_id, lang, {_NORMAL} as text from docs), judged as (select doc_id, text, length(text) char_count, case when length(text) < 200 then 'too_short' when coalesce(lang, 'unknown') <> 'en' then 'non_english' end reason from clean)"
+_YEAR_TEXT = rf"coalesce(list_max(list_transform(regexp_extract_all(text, '(?:^|[^\p{{L}}\p{{N}}_])(20[0-3]\p{{Nd}})(?:[^\p{{L}}\p{{N}}_]|$)', 1), lambda y: cast(y as int))), 0)"
+_CUT = f"{_DOCS}, own as (select doc_id, source_file, {_WORDS} w from docs), wins as (select doc_id, source_file, unnest(range(0, greatest(len(w), 1), 180)) s, w from own), pieces as (select doc_id, source_file, s, array_to_string(w[s + 1 : s + 180], ' ') text from wins), cut as (select doc_id, source_file, text, cast(row_number() over (partition by doc_id order by s) - 1 as int) idx from pieces where length(text) >= 120)"
+_CHUNKS = "own as (select distinct chunk_id, doc_id, source_file, text from chunks where text is not null)"
+_FILES = "files as (select doc_id, min(source_file) source_file, min(text) text from cleaned_docs where text is not null group by doc_id)"
+_TOKENS = rf"regexp_extract_all(lower(text), '{_W}+')"
+_REASON = rf"""case when len(tok) < 15 then 'too_few_words'
+  when length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / greatest(length(text), 1) < 0.5 then 'low_alpha_ratio'
+  when length(regexp_replace(text, '[\p{{L}}\p{{N}}]|{_S}', '', 'g')) / greatest(length(text), 1) > 0.3 then 'high_symbol_ratio'
+  when len(list_distinct(tok)) / len(tok) < 0.2 then 'low_lexical_diversity' end"""
+_JUDGED = f"{_CHUNKS}, t as (select *, {_TOKENS} tok from own), judged as (select chunk_id, doc_id, text, {_REASON} reason from t)"
+_SEARCH = "list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) > 2)"
+_SIG = rf"lower(regexp_replace({_STRIP % (f'''regexp_replace(line, '{_S}+', ' ', 'g')''')}, '\p{{Nd}}+', '#', 'g'))"
+_STATS = rf"""{_FILES}, ls as (select doc_id, string_split(text, chr(10)) l from files), flat as (select doc_id, len(l) n_lines, unnest(l) line, unnest(range(len(l))) pos from ls),
+ sig as (select doc_id, n_lines, pos, {_SIG} sig from flat), gaps as (select *, pos - lag(pos) over (partition by doc_id, sig order by pos) gap from sig where length(replace(sig, ' ', '')) >= 8),
+ stats as (select doc_id, sig, count(*) occurrences, avg(gap) mean_gap, stddev_pop(gap) / avg(gap) gap_cv, (max(pos) - min(pos)) / max(n_lines) span from gaps group by doc_id, sig having count(*) > 1)"""
+_SINGLE = "['kyc','aml','str','pep','sanctions','onboarding','reporting','screening','monitoring']"
+_TAGGED = rf"""{_CHUNKS}, t as (select chunk_id, list_filter({_TOKENS}, lambda x: list_contains({_SINGLE}, x)) hits, greatest(len({_WORDS}), 1) n from own),
+ tagged as (select chunk_id, len(list_distinct(hits)) >= 2 regulatory_tagged, array_to_string(list_sort(list_distinct(hits)), ',') found, round(least(1.0, len(hits) / n), 4) regulatory_density_score from t)"""
+_LABELLED = f"""{_FILES}, lab as (select source_file, min(lower(trim(label))) label from doc_labels where source_file is not null and label is not null group by 1),
+ txt as (select source_file, min(text) text from files where source_file is not null group by 1), docs as (select source_file, text, label from txt join lab using (source_file))"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "normalize_text": f"with {_DOCS} select doc_id, {_NORMAL} as text from docs",
+        "clean_filter": f"with {_CLEAN} select doc_id, cast(char_count as int) char_count, reason from judged",
+        "clean_reasons": f"with {_CLEAN}, k as (select unnest(['too_short', 'non_english']) reason) select (select count(*) from judged) docs_in, (select count(*) from judged where reason is null) docs_out, (select count(*) from judged where reason is not null) removed, k.reason, (select count(*) from judged j where j.reason = k.reason) n from k",
+        "chunk_documents": f"with {_CUT} select doc_id || '__' || idx as chunk_id, doc_id, idx, text from cut",
+        "exact_dedup": f"with {_CUT}, y as (select d.doc_id, {_YEAR_TEXT} yr from docs d), r as (select cut.*, sha256(text) hash, row_number() over (partition by text order by -yr, cut.doc_id, idx) rn from cut join y using (doc_id)) select doc_id || '__' || idx as chunk_id, hash from r where rn = 1",
+        "heal_line_stats": f"with {_STATS} select doc_id, sig, occurrences, round(mean_gap, 6) mean_gap, round(gap_cv, 6) gap_cv, round(span, 6) span from stats",
+        "heal_furniture": f"with {_STATS} select doc_id, sig, occurrences from stats where occurrences >= 5 and span >= 0.5 and gap_cv <= 0.5 and mean_gap between 5 and 150",
+        "vocab_counts": f"with {_FILES} select word, count(*) n from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) word from files) group by word",
+        "quality_reasons": f"with {_JUDGED} select chunk_id, reason from judged",
+        "quality_counts": f"with {_JUDGED} select reason, count(*) n from judged group by reason",
+        "keyword_tags_words": f"with {_TAGGED} select * from tagged",
+        "tag_counts": f"with {_TAGGED} select count(*) filter (where regulatory_tagged) tagged, count(*) filter (where not regulatory_tagged) untagged, count(*) filter (where regulatory_density_score >= 0.05) high_density from tagged",
+        "quality_signal_cache": f"with {_CHUNKS}, lab as (select source_file, min(label) label from doc_labels where label is not null group by 1), cache as (select text, min(label) label from own join lab using (source_file) group by text) select chunk_id, label quality_classifier_label from own left join cache using (text)",
+        "entity_shapes": rf"with {_CHUNKS}, c as (select chunk_id, cast(len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}')) as int) mail, cast(len(regexp_extract_all(text, '[A-Z]{{5}}[0-9]{{4}}[A-Z]')) as int) tax, cast(len(regexp_extract_all(text, '[0-9]{{9,}}')) as int) digits from own) select * from c where mail + tax + digits > 0",
+        "gold_problems": "with g as (select id, text, kind, unnest(pii) p from pii_gold) select id, 'repeated id' problem from pii_gold group by id having count(*) > 1 union all select id, 'unknown kind' from pii_gold where kind is null or kind not in ('positive', 'negative', 'public') union all select id, 'value not in text' from g where not contains(text, p.value)",
+        "doc_drilldown": f"with {_FILES}, {_JUDGED}, a as (select doc_id, count(*) n from judged group by 1), b as (select doc_id, count(*) n from judged where reason is null group by 1), c as (select doc_id, count(*) n from judged where contains(text, '@') group by 1) select files.doc_id, source_file, coalesce(a.n, 0) chunks, coalesce(b.n, 0) kept_chunks, coalesce(c.n, 0) pii_chunks from files left join a using (doc_id) left join b using (doc_id) left join c using (doc_id)",
+        "token_stats_words": f"with {_CHUNKS} select source_file, count(*) chunks, cast(sum(len({_WORDS})) as bigint) tokens, 'words' tokenizer from own group by source_file",
+        "token_total": f"with {_CHUNKS}, s as (select source_file, count(*) chunks, sum(len({_WORDS})) tokens from own group by source_file) select count(*) files, cast(sum(chunks) as bigint) chunks, cast(sum(tokens) as bigint) tokens from s",
+        "compare_simple_filters": rf"""with {_CHUNKS}, a as (select chunk_id, text, {_WORDS} w, length(regexp_replace(text, '[^\p{{L}}\p{{N}}]', '', 'g')) an, length(regexp_replace(text, '{_NS}', '', 'g')) sp, length(regexp_replace(text, '[^\p{{Nd}}]', '', 'g')) dg, len(regexp_extract_all(text, '#|\.\.\.|…')) sy, greatest(length(text), 1) sz from own),
+ b as (select *, case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [] end g from a),
+ f as (select chunk_id, list_filter([case when not (len(w) between 50 and 100000) then 'word_count' end, case when (length(text) - an - sp) / sz > 0.25 then 'non_alpha_numeric' end, case when sy / greatest(len(w), 1) > 0.1 then 'symbols_to_words' end, case when dg / sz > 0.15 then 'numbers' end,
+ case when len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) / greatest(len(w), 1) < 0.8 then 'words_without_alphabets' end, case when not ((length(text) - sp) / greatest(len(w), 1) between 3 and 10) then 'mean_word_length' end,
+ case when len(g) > 0 and 1 - len(list_distinct(g)) / len(g) > 0.15 then 'dup_5grams' end], lambda x: x is not null) fl from b)
+ select chunk_id, array_to_string(fl, ',') failed from f where len(fl) > 0""",
+        "version_order": rf"""with {_FILES}, p as (select doc_id, text, regexp_extract(doc_id, '(^|[^0-9])(20[0-9][0-9])_([0-9][0-9])($|[^0-9])', 2) a, regexp_extract(doc_id, '(^|[^0-9])(20[0-9][0-9])_([0-9][0-9])($|[^0-9])', 3) b from files),
+ q as (select doc_id, text, case when a <> '' then case when (cast(a as int) + 1) % 100 = cast(b as int) then cast(a as int) + 1 else cast(a as int) end else coalesce(list_max(list_transform(regexp_extract_all(doc_id, '(?:^|[^0-9])(20[0-3][0-9])(?:$|[^0-9])', 1), lambda y: cast(y as int))), 0) end name_year from p)
+ select doc_id, case when name_year > 0 then name_year else {_YEAR_TEXT} end as year from q""",
+        "sentence_counts": rf"with {_FILES} select doc_id, cast(len(list_filter(string_split(regexp_replace({_STRIP % (f'''regexp_replace(text, '{_S}+', ' ', 'g')''')}, '([.;:]) ([A-Z(\p{{Nd}}])', '\1' || chr(10) || '\2', 'g'), chr(10)), lambda s: s <> '')) as int) sentences from files",
+        "doctype_centroid": f"""with {_LABELLED}, tk as (select source_file, label, {_SEARCH} t from docs), tf as (select source_file, label, term, count(*) / max(total) f from (select source_file, label, len(t) total, unnest(t) term from tk) group by 1, 2, 3),
+ df as (select term, count(*) df from tf group by 1), sizes as (select label, count(*) n from docs group by 1)
+ select tf.label, tf.term, round(sum(f) / max(n), 9) weight from tf join df using (term) join sizes using (label) where df / (select count(*) from docs) <= 0.5 group by 1, 2""",
+        "label_gate": "with a as (select distinct source_file from doc_labels where source_file is not null), b as (select distinct source_file from cleaned_docs where source_file is not null) select source_file, 'text' missing from a anti join b using (source_file) union all select source_file, 'label' from b anti join a using (source_file)",
+        "tfidf_search": f"""with d as (select doc_id, {_SEARCH} t from documents where text is not null), q as (select item_id, {_SEARCH} t from eval_items),
+ dt as (select doc_id, total, term, count(*) tf from (select doc_id, len(t) total, unnest(t) term from d) group by 1, 2, 3), qt as (select item_id, total, term, count(*) tf from (select item_id, len(t) total, unnest(t) term from q) group by 1, 2, 3),
+ n as (select count(*) n from d), df as (select term, ln((max(n) + 1) / (count(*) + 1)) + 1 idf from dt, n group by term),
+ qw as (select item_id, qt.term, tf / total * coalesce(idf, ln((select n from n) + 1) + 1) w, idf from qt left join df using (term)), qn as (select item_id, sqrt(sum(w * w)) qn from qw group by 1),
+ dw as (select doc_id, dt.term, tf / total * idf v from dt join df using (term)), dn as (select doc_id, sqrt(sum(v * v)) dn from dw group by 1),
+ dots as (select item_id, doc_id, count(*) overlap, sum(w * v) dot from qw join dw using (term) group by 1, 2), cand as (select *, row_number() over (partition by item_id order by overlap desc, doc_id) r from dots),
+ sc as (select item_id, doc_id, overlap, dot / (qn * dn) score from cand join qn using (item_id) join dn using (doc_id) where r <= 60),
+ best as (select *, row_number() over (partition by item_id order by score desc, overlap desc, doc_id) place from sc where score > 0) select item_id, cast(place as int) place, doc_id, overlap, round(score, 4) score from best where place <= 5""",
+    }
