@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once a row, however often body uses it, inside its own functions as well."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: str | Column) -> Column:
     """Without white space at the ends."""
     return F.regexp_replace(col(text), f"^{SPACE}+|{SPACE}+$", "")
@@ -41,8 +48,12 @@ def word_tokens(text: str | Column) -> Column:
 
 def windows(items: Column, size: int, step: int = 1, sep: str = " ") -> Column:
     """Runs of `size` consecutive items joined; one, of all items, where there are fewer."""
-    last = F.greatest(F.size(items) - size, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda i: F.array_join(F.slice(items, i + 1, size), sep))
+
+    def cut(own: Column) -> Column:
+        last = F.greatest(F.size(own) - size, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda i: F.array_join(F.slice(own, i + 1, size), sep))
+
+    return let(items, cut)
 
 
 def shingles(items: Column, size: int = 5) -> Column:
@@ -52,10 +63,12 @@ def shingles(items: Column, size: int = 5) -> Column:
 
 def chunks(text: str | Column, size: int = 180, least: int = 120) -> Column:
     """Consecutive windows of `size` words of at least `least` code points."""
-    own = words(text)
-    n = F.ceil(F.size(own) / size).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.array_join(F.slice(own, i * size + 1, size), " "))
-    return F.filter(cut, lambda x: F.length(x) >= least)
+
+    def cut(own: Column) -> Column:
+        n = F.ceil(F.size(own) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.array_join(F.slice(own, i * size + 1, size), " "))
+
+    return F.filter(let(words(text), cut), lambda x: F.length(x) >= least)
 
 
 def signature(line: str | Column) -> Column:

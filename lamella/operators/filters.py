@@ -5,8 +5,13 @@ The definitions are this engine's own reading of those rules; words are stretche
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamella.functions import text as X
 
@@ -19,25 +24,36 @@ FILTERS = {
 BOILERPLATE = ["terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies", "lorem ipsum", "javascript"]
 
 
-def _top_share(w: Column, n: int) -> Column:
-    """Characters of the most frequent run of n words, all its places, by characters of all words."""
-    grams = F.filter(X.windows(w, n), lambda g: F.size(w) >= n)
-    counts = F.aggregate(F.array_sort(grams), F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best"), F.lit(0).alias("size")), _count_step)
-    total = F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x))
-    return F.when(counts["best"] > 1, counts["best"] * counts["size"] / F.greatest(total, F.lit(1))).otherwise(0.0)
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def top_shares(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Of runs of 2, 3 and 4 words: characters of the most frequent one, all its places, by characters of all words; 0 where none comes again.
+
+    Counting inside a row has no built-in expression that isn't quadratic, so this one runs in Arrow batches.
+    """
 
+    def shares(text: str | None) -> list[float]:
+        w = (text or "").split()
+        size = sum(map(len, w)) or 1
+        out = []
+        for n in (2, 3, 4):
+            counts = Counter(zip(*(w[i:] for i in range(n))))
+            most = max(counts.values(), default=0)
+            longest = max((sum(map(len, g)) for g, c in counts.items() if c == most), default=0) if most > 1 else 0
+            out.append(most * longest / size)
+        return out
 
-def _count_step(acc: Column, g: Column) -> Column:
-    n = F.when(g == acc["last"], acc["n"] + 1).otherwise(1)
-    size = F.length(F.replace(g, F.lit(" "), F.lit("")))
-    better = (n > acc["best"]) | ((n == acc["best"]) & (size > acc["size"]))
-    return F.struct(g.alias("last"), n.alias("n"), F.when(better, n).otherwise(acc["best"]).alias("best"), F.when(better, size).otherwise(acc["size"]).alias("size"))
+    for batch in texts:
+        yield batch.map(shares)
 
 
 def failed_filters(text: str | Column = "text") -> Column:
     """All filters a text fails, in the order of FILTERS."""
     text = X.col(text)
-    w = X.words(text)
+    # a Python function can't stand inside a lambda, so its result is bound beside it
+    return X.let(F.struct(X.words(text).alias("w"), top_shares(text).alias("top")), lambda x: _failed(text, x["w"], x["top"]))
+
+
+def _failed(text: Column, w: Column, top: Column) -> Column:
     n = F.size(w)
     size = F.greatest(F.length(text), F.lit(1))
     letters_digits = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", ""))
@@ -47,7 +63,7 @@ def failed_filters(text: str | Column = "text") -> Column:
     lettered = F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))
     mean = (F.length(text) - spaces) / F.greatest(n, F.lit(1))
     five = F.when(n >= 5, X.windows(w, 5)).otherwise(F.array().cast("array<string>"))
-    repeated = 1 - F.try_divide(F.size(F.array_distinct(five)), F.size(five))
+    repeated = X.let(five, lambda g: 1 - F.try_divide(F.size(F.array_distinct(g)), F.size(g)))
     rules = {
         "word_count": ~n.between(50, 100_000),
         "non_alpha_numeric": (F.length(text) - letters_digits - spaces) / size > 0.25,
@@ -55,9 +71,9 @@ def failed_filters(text: str | Column = "text") -> Column:
         "numbers": digits / size > 0.15,
         "words_without_alphabets": lettered / F.greatest(n, F.lit(1)) < 0.8,
         "mean_word_length": ~mean.between(3, 10),
-        "top_2grams": _top_share(w, 2) > 0.20,
-        "top_3grams": _top_share(w, 3) > 0.18,
-        "top_4grams": _top_share(w, 4) > 0.16,
+        "top_2grams": top[0] > 0.20,
+        "top_3grams": top[1] > 0.18,
+        "top_4grams": top[2] > 0.16,
         "dup_5grams": F.coalesce(repeated, F.lit(0.0)) > 0.15,
         "boilerplate": F.lower(text).rlike("|".join(BOILERPLATE)),
     }

@@ -2,14 +2,17 @@
 
 from pyspark.sql import types as T
 
-DOCUMENT = T._parse_datatype_string("doc_id string, source_file string, text string, lang string, char_count int")
-CHUNK = T._parse_datatype_string("chunk_id string, doc_id string, source_file string, text string, page_start int, page_end int")
-TAGGED = T._parse_datatype_string(
-    "chunk_id string, doc_id string, source_file string, text string, page_start int, page_end int, regulatory_tagged boolean, "
-    "regulatory_keywords_found array<string>, regulatory_density_score double, quality_classifier_label string"
-)
-CURATED = T._parse_datatype_string(
-    "text string, metadata struct<chunk_id:string,doc_id:string,source_file:string,page_start:int,page_end:int,pii_redacted:boolean,"
-    "regulatory_tagged:boolean,regulatory_keywords_found:array<string>,regulatory_density_score:double,quality_classifier_label:string>"
+_S, _I, _L, _D, _B = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+DOCUMENT = _struct(doc_id=_S, source_file=_S, text=_S, lang=_S, char_count=_I)
+CHUNK = _struct(chunk_id=_S, doc_id=_S, source_file=_S, text=_S, page_start=_I, page_end=_I)
+METADATA = _struct(
+    chunk_id=_S, doc_id=_S, source_file=_S, page_start=_I, page_end=_I, pii_redacted=_B, regulatory_tagged=_B, regulatory_keywords_found=T.ArrayType(_S), regulatory_density_score=_D, quality_classifier_label=_S
 )
-STAGE_RECORD = T._parse_datatype_string("stage string, docs_in bigint, docs_out bigint, removed bigint, reason_counts map<string,bigint>")
+CURATED = _struct(text=_S, metadata=METADATA)
+STAGE_RECORD = _struct(stage=_S, docs_in=_L, docs_out=_L, removed=_L, reason_counts=T.MapType(_S, _L))
