@@ -9,8 +9,8 @@ of them. Every candidate is verified on the texts themselves.
 Each posting carries the hash of its surroundings, the window with `least - width` code points more on either side. Postings
 with equal hash and equal surroundings are one class: a passage repeated in a third of all records is one class (or a
 few, where records begin or end) and is compared once, not once a pair. Where a hash still has more than `hot` classes,
-its classes are not paired: every window of `least` code points around it is hashed, and the join on those hashes gives
-only stretches that are long enough.
+its classes are not paired: every window of `least` code points around it is hashed, and texts are joined on those hashes,
+which gives only stretches that are long enough.
 """
 
 from __future__ import annotations
@@ -181,30 +181,34 @@ def _extend(least: int, width: int):
 def _windows(least: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = batch.column(4).to_numpy(zero_copy_only=False)
             for lo, hi, cps, bounds in flat.blocks(batch.column(3)):
                 sums = flat.prefix(cps)
                 count = np.maximum(np.diff(bounds) - least + 1, 0)
                 row = np.repeat(np.arange(hi - lo), count)
                 start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + bounds[row]
                 own = [batch.column(i).slice(lo, hi - lo).take(pa.array(row)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(flat.signed(flat.gram(sums, start, start + least)))], ["batch", "hash", "around", "window"])
+                before = at[lo:hi][row] - (start - bounds[row])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(flat.signed(flat.gram(sums, start, start + least))), pa.array(before.astype(np.int32))], ["batch", "hash", "around", "window", "before"])
 
     return go
 
 
-def class_links(met: DataFrame, texts: DataFrame, least: int, width: int, hot: int = 64) -> DataFrame:
-    """(batch, hash, around_a, around_b, before, size): classes of postings with a stretch of `least` code points in common.
+def class_links(met: DataFrame, texts: DataFrame, least: int, width: int, hot: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(links, windows). links: (batch, hash, around_a, around_b, before, size), classes of postings with a stretch of `least` code points in common.
 
     met: matches() of each batch, with its number as batch. texts: (text_id, text), rows may repeat. A class is linked to
     itself where its surroundings are long enough (around_a = around_b); other classes once (around_a < around_b), after
-    the texts around one posting of either have been compared.
+    the texts around one posting of either have been compared. Hashes with more than `hot` classes aren't in links but in
+    windows, (batch, hash, around, window, before): every stretch of `least` code points around their postings, by its hash.
     """
     more = least - width
     classes = met.groupBy("batch", "hash", "around").agg(F.min(F.struct("text_id", "pos")).alias("low"), F.max("fresh").alias("fresh"), F.first("back").alias("back"), F.first("wide").alias("wide"))
     classes = classes.select("batch", "hash", "around", "fresh", "back", "wide", F.col("low.text_id").alias("text_id"), F.col("low.pos").alias("pos"))
-    own = classes.where((F.col("wide") >= least) & F.col("fresh")).select("batch", "hash", F.col("around").alias("around_a"), F.col("around").alias("around_b"), F.col("back").alias("before"), F.col("wide").alias("size"))
-    number = classes.groupBy("batch", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    number = classes.groupBy("batch", "hash").agg(F.count("*").alias("n"))
     classes = classes.join(number, ["batch", "hash"])
+    own = classes.where((F.col("wide") >= least) & F.col("fresh") & (F.col("n") <= hot)).select("batch", "hash", F.col("around").alias("around_a"), F.col("around").alias("around_b"), F.col("back").alias("before"), F.col("wide").alias("size"))
+    classes = classes.where("n > 1")
     snippet = F.expr(f"substring(text, greatest(pos - {more}, 0) + 1, pos + {width + more} - greatest(pos - {more}, 0))")
     places = classes.select("text_id", "pos").distinct()
     cut = texts.join(places, "text_id").select("text_id", "pos", snippet.alias("part"), F.expr(f"least(pos, {more})").alias("at")).dropDuplicates(["text_id", "pos"])
@@ -215,18 +219,28 @@ def class_links(met: DataFrame, texts: DataFrame, least: int, width: int, hot: i
     usual, many = classes.where(F.col("n") <= hot), classes.where(F.col("n") > hot)
     on = ["batch", "hash"]
     cold = side(usual, "a", on).join(side(usual, "b", on), on)
-    dense = many.join(cut, ["text_id", "pos"]).select("batch", "hash", "around", "part").mapInArrow(_windows(least), "batch int, hash bigint, around bigint, window bigint")
-    dense = dense.join(many.select("batch", "hash", "around", "text_id", "pos", "fresh"), ["batch", "hash", "around"])
-    warm = side(dense, "a", [*on, "window"]).join(side(dense, "b", [*on, "window"]), [*on, "window"]).drop("window")
-    pairs = cold.unionByName(warm).where("around_a < around_b and (fresh_a or fresh_b)").distinct()
+    windows = many.join(cut, ["text_id", "pos"]).select("batch", "hash", "around", "part", "at").mapInArrow(_windows(least), "batch int, hash bigint, around bigint, window bigint, before int").distinct()
+    pairs = cold.where("around_a < around_b and (fresh_a or fresh_b)").distinct()
     one, two = (cut.select(*(F.col(c).alias(f"{c}_{s}") for c in cut.columns)) for s in "ab")
     held = pairs.join(one, ["text_id_a", "pos_a"]).join(two, ["text_id_b", "pos_b"])
     held = held.select("batch", "hash", "around_a", "around_b", "part_a", "part_b", "at_a", "at_b").mapInArrow(_extend(least, width), "batch int, hash bigint, around_a bigint, around_b bigint, before int, size int")
-    return own.unionByName(held)
+    return own.unionByName(held), windows
 
 
-def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, least: int, width: int, batches: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, met, links): the keys of each text, the met postings of all batches, and the links of their classes."""
+def hot_texts(met: DataFrame, windows: DataFrame) -> DataFrame:
+    """(batch, hash, window, text_id, fresh): texts that have a window another text has too.
+
+    Neighbouring windows are mostly had by the same texts; of those with one set of texts (by count and hash) one is kept.
+    """
+    post = met.groupBy("batch", "hash", "around", "text_id").agg(F.max("fresh").alias("fresh"))
+    have = windows.select("batch", "hash", "around", "window").distinct().join(post, ["batch", "hash", "around"]).groupBy("batch", "hash", "window", "text_id").agg(F.max("fresh").alias("fresh"))
+    sets = have.groupBy("batch", "hash", "window").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("text_id")).alias("x"), F.max("fresh").alias("some")).where("n > 1 and some")
+    one = sets.groupBy("batch", "hash", "n", "x").agg(F.min("window").alias("window"))
+    return have.join(one.select("batch", "hash", "window"), ["batch", "hash", "window"], "left_semi")
+
+
+def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, least: int, width: int, batches: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, met, links, windows): the keys of each text, the met postings of all batches, the links of their classes, and hot windows."""
     spark = records.sparkSession
     base = records.where(F.col(key).isNotNull() & (F.length(text) >= least))
     base = base.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_id"), (F.unix_seconds(F.col(arrived).cast("timestamp")) if arrived else F.lit(None).cast("long")).alias("arrived"))
@@ -247,7 +261,8 @@ def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, le
         if i < last:
             index.append(run)
     met = written(met, "met")
-    return members, met, class_links(met, texts, least, width, hot)
+    links, windows = class_links(met, texts, least, width, hot)
+    return members, met, links, windows
 
 
 def shared_span_pairs(records: DataFrame, key: str, text: str, arrived: str | None = None, least: int = 400, width: int = 200, batches: int = 3, hot: int = 64) -> DataFrame:
@@ -257,12 +272,16 @@ def shared_span_pairs(records: DataFrame, key: str, text: str, arrived: str | No
     remains, and so on, as an index meets them that is kept up by daily arrivals; the result doesn't depend on it.
     Null keys and null texts give nothing; rows that come again give their pairs once.
     """
-    members, met, links = spans_index(records, key, text, arrived, least, width, batches, hot)
-    post = met.select("batch", "hash", "around", "text_id", "fresh")
+    members, met, links, windows = spans_index(records, key, text, arrived, least, width, batches, hot)
+    # a text that repeats itself has many postings in a class, and is in it once
+    post = met.groupBy("batch", "hash", "around", "text_id").agg(F.max("fresh").alias("fresh"))
     a = post.select("batch", "hash", F.col("around").alias("around_a"), F.col("text_id").alias("x"), F.col("fresh").alias("fa"))
     b = post.select("batch", "hash", F.col("around").alias("around_b"), F.col("text_id").alias("y"), F.col("fresh").alias("fb"))
     wide = links.select("batch", "hash", "around_a", "around_b").join(a, ["batch", "hash", "around_a"]).join(b, ["batch", "hash", "around_b"])
-    pairs = wide.where("x <> y and (fa or fb)").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    pairs = wide.where("x <> y and (fa or fb)").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    many = hot_texts(met, windows)
+    p, q = many.select("batch", "hash", "window", F.col("text_id").alias("x"), F.col("fresh").alias("fa")), many.select("batch", "hash", "window", F.col("text_id").alias("y"), F.col("fresh").alias("fb"))
+    pairs = pairs.unionByName(p.join(q, ["batch", "hash", "window"]).where("x < y and (fa or fb)").select("x", "y")).distinct()
     equal = members.groupBy("text_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select(F.col("text_id").alias("x"), F.col("text_id").alias("y"))
     both = pairs.unionByName(equal)
     one, two = members.select(F.col("text_id").alias("x"), F.col("key").alias("ka")), members.select(F.col("text_id").alias("y"), F.col("key").alias("kb"))
@@ -275,13 +294,17 @@ def shared_share(records: DataFrame, key: str, text: str, arrived: str | None =
 
     spans counts the separate stretches. A text that is another record's whole text is shared whole.
     """
-    members, met, links = spans_index(records, key, text, arrived, least, width, batches, hot)
-    links = written(links, "links")
+    members, met, links, windows = spans_index(records, key, text, arrived, least, width, batches, hot)
+    links, windows = written(links, "links"), written(windows, "windows")
     ends = met.groupBy("batch", "hash", "around").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi"))
     ways = links.select("batch", "hash", F.col("around_a").alias("around"), F.col("around_b").alias("other"), "before", "size").unionByName(links.where("around_a < around_b").select("batch", "hash", F.col("around_b").alias("around"), F.col("around_a").alias("other"), "before", "size"))
     ways = ways.join(ends.withColumnRenamed("around", "other"), ["batch", "hash", "other"])
     seen = met.select("batch", "hash", "around", "text_id", "pos").join(ways, ["batch", "hash", "around"]).where("lo <> text_id or hi <> text_id")
     parts = seen.select("text_id", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") - F.col("before") + F.col("size")).alias("stop")).distinct()
+    held = windows.join(met.select("batch", "hash", "around", "text_id").distinct(), ["batch", "hash", "around"]).groupBy("batch", "hash", "window").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi")).where("lo < hi")
+    hot_at = windows.join(held.select("batch", "hash", "window"), ["batch", "hash", "window"], "left_semi").select("batch", "hash", "around", "before").distinct()
+    start = F.col("pos") - F.col("before")
+    parts = parts.unionByName(met.join(hot_at, ["batch", "hash", "around"]).select("text_id", start.alias("start"), (start + least).alias("stop"))).distinct()
     copies = members.groupBy("text_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.max("n").alias("n")).where("lo < hi")
     parts = parts.unionByName(copies.select("text_id", F.lit(0).alias("start"), F.col("n").alias("stop")))
     from pyspark.sql import Window
