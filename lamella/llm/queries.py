@@ -105,5 +105,24 @@ def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
 
 
+_S = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_WORDS = f"list_filter(regexp_split_to_array(%s, '{_S}+'), lambda w: w <> '')"
+_RUN12 = r"""(select distinct %s id, unnest(case when len(w) >= 12 then list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i : i + 11], ' ')) else [] end) g from (select %s, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from %s where text is not null))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Exact searches, for the queries that SQL can express over whole tables."""
+    return {
+        "p2_found": "select distinct doc_id from cleaned_docs where length(text) > 8000",
+        "p5_found": f"""with c as (select distinct chunk_id, {_WORDS % 'lower(text)'} w from chunks where text is not null),
+ s as (select distinct chunk_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [] end) g from c), n as (select chunk_id, count(*) n from s group by 1),
+ p as (select a.chunk_id a, b.chunk_id b, count(*) k from s a join s b on a.g = b.g and a.chunk_id < b.chunk_id group by 1, 2)
+ select a chunk_id_a, b chunk_id_b from p join n x on x.chunk_id = a join n y on y.chunk_id = b where k / (x.n + y.n - k) >= 0.75""",
+        "p6_found": f"""with c as (select run_id, source_file, chunk_id, max(len({_WORDS % "coalesce(text, '')"})) k from chunks group by 1, 2, 3), r as (select run_id, source_file, count(chunk_id) n, sum(k) k from c group by 1, 2)
+ select distinct s.run_id, s.source_file from token_stats s left join r on s.run_id is not distinct from r.run_id and s.source_file is not distinct from r.source_file
+ where s.chunks is null or s.tokens is null or s.chunks <> coalesce(r.n, 0) or s.tokens <> coalesce(r.k, 0)""",
+        "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
+        "p9_found": f"with d as {_RUN12 % ('doc_id', 'doc_id', 'documents')}, i as {_RUN12 % ('item_id', 'item_id', 'eval_items')} select distinct d.id doc_id, i.id item_id from d join i using (g)",
+        "p10_found": """with w as (select distinct doc_id, md5_number(substr(text, i, 400)) h from (select doc_id, text, unnest(range(1, length(text) - 398)) i from documents where length(text) >= 400))
+ select distinct a.doc_id doc_id_a, b.doc_id doc_id_b from w a join w b on a.h = b.h and a.doc_id < b.doc_id""",
+    }
