@@ -41,6 +41,10 @@ def oracle_sql() -> dict[str, str]:
         "clean_reasons": f"with {_CLEAN}, k as (select unnest(['too_short', 'non_english']) reason) select (select count(*) from judged) docs_in, (select count(*) from judged where reason is null) docs_out, (select count(*) from judged where reason is not null) removed, k.reason, (select count(*) from judged j where j.reason = k.reason) n from k",
         "chunk_documents": f"with {_CUT} select doc_id || '__' || idx as chunk_id, doc_id, idx, text from cut",
         "exact_dedup": f"with {_CUT}, y as (select d.doc_id, {_YEAR_TEXT} yr from docs d), r as (select cut.*, sha256(text) hash, row_number() over (partition by text order by -yr, cut.doc_id, idx) rn from cut join y using (doc_id)) select doc_id || '__' || idx as chunk_id, hash from r where rn = 1",
+        "near_dup_pairs": f"""with {_CUT}, c as (select min(doc_id || '__' || idx) chunk_id, text from cut group by text), w as (select chunk_id, list_filter(regexp_split_to_array(lower(text), '{_S}+'), lambda w: w <> '') w from c),
+ s as (select distinct chunk_id, unnest(case when len(w) > 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [array_to_string(w, ' ')] end) g from w), n as (select chunk_id, count(*) n from s group by 1),
+ p as (select a.chunk_id a, b.chunk_id b, count(*) k from s a join s b on a.g = b.g and a.chunk_id < b.chunk_id group by 1, 2)
+ select a chunk_id_a, b chunk_id_b, round(k / (x.n + y.n - k), 6) similarity from p join n x on x.chunk_id = a join n y on y.chunk_id = b where k / (x.n + y.n - k) >= 0.8""",
         "heal_line_stats": f"with {_STATS} select doc_id, sig, occurrences, round(mean_gap, 6) mean_gap, round(gap_cv, 6) gap_cv, round(span, 6) span from stats",
         "heal_furniture": f"with {_STATS} select doc_id, sig, occurrences from stats where occurrences >= 5 and span >= 0.5 and gap_cv <= 0.5 and mean_gap between 5 and 150",
         "vocab_counts": f"with {_FILES} select word, count(*) n from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) word from files) group by word",
