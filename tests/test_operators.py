@@ -152,6 +152,30 @@ def test_redaction_rules(text, kinds):
     assert all(f"[REDACTED_{k}]" in got["text"] for k in kinds)
 
 
+def test_redacted_finds_each_shape_alone(spark):
+    alone = {
+        "PAN": "no PBTPK7239C",
+        "AADHAAR": "no 2345 6789 0124",
+        "EMAIL": "a@b.org",
+        "PHONE": "no 9876543210",
+        "DATE": "born 23-10-1978",
+        "PINCODE": "pin 400001",
+        "CIN": "no L12345AB2001ABC123456",
+        "SWIFT_BIC": "SWIFT ABCDEF12",
+        "ACCOUNT_NUMBER": "a/c 123456789",
+        "PERSON_NAME": "Smt. A. RAO",
+    }
+    rows = [(k, k, v) for k, v in alone.items()]
+    # the digits that the rules take in any script, in those of Devanagari and of a script that older engines don't know
+    for zero in (0x966, 0x11F50):
+        rows += [(f"ACCOUNT_NUMBER-{zero}", "ACCOUNT_NUMBER", "a/c " + "".join(chr(zero + int(c)) for c in "123456789"))]
+        rows += [(f"PHONE-{zero}", "PHONE", "no 9" + "".join(chr(zero + int(c)) for c in "876543210")), (f"DATE-{zero}", "DATE", f"born 2{chr(zero + 3)}-10-19{chr(zero + 7)}{chr(zero + 8)}")]
+    df = spark.createDataFrame(rows, "chunk_id string, kind string, text string")
+    assert all(redact.redact(r[2])["entities"] for r in rows)
+    got = {r.chunk_id: (r.pii_redacted, r.kind in r.entities) for r in redact.redacted(df).collect()}
+    assert got == {r[0]: (True, True) for r in rows}
+
+
 def test_redaction_review_and_interaction():
     assert redact.redact("number 12345678901 here")["review"]
     # the phone's own placeholder is a telephone word near the account number
