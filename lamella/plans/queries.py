@@ -149,10 +149,14 @@ def gold_problems(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_drilldown(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = _chunks(spark, sf)
-    kept = chunks.where(quality.quality_reason("text").isNull())
-    mail = chunks.withColumn("pii_redacted", F.contains("text", F.lit("@")))
-    return pipeline.drilldown(_files(spark, sf), chunks, kept, mail)
+    """Files with their chunks after deduplication, those of them the quality filter keeps, and those of these that redaction changed."""
+    files, chunks = _files(spark, sf), _chunks(spark, sf)
+    years = files.select("doc_id", X.document_year("doc_id", "text").alias("year"))
+    # of a chunk whose record has no text the name alone tells the year
+    dated = chunks.join(years, "doc_id", "left").withColumn("year", F.coalesce("year", X.year_in_name("doc_id")))
+    single = written(dedup.deduplicated(dated).where("reason is null"), "single").drop("reason")
+    kept = single.where(quality.quality_reason("text").isNull())
+    return pipeline.drilldown(files, single, kept, redact.redacted(kept))
 
 
 def token_stats_words(spark: SparkSession, sf: str) -> DataFrame:

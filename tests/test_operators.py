@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamella.operators import clean, dedup, evaluate, filters, heal, pages, quality, redact, search, tokens, versions
-from lamella.plans import pipeline
+from lamella.plans import pipeline, queries
 
 
 def words(seed, n):
@@ -203,6 +203,22 @@ def test_report_and_examples(spark):
     assert [r.doc_id for r in got] == [f"d__{i}" for i in range(6)]
 
 
+def test_drilldown_counts_the_stages(spark, tmp_path):
+    plain = [words(40 + i, 60) for i in range(4)]
+    cut = [
+        ("a__0", "a", "fa", f"{plain[0]} PBTPK7239C"),
+        ("a__1", "a", "fa", f"{plain[1]} @ noon"),
+        ("a__2", "a", "fa", "few words and me@site.org"),
+        ("b__0", "b", "fb", plain[1] + " @ noon"),
+        ("b__1", "b", "fb", plain[2]),
+        ("c_2030__0", "c_2030", "fc", plain[2]),
+    ]
+    spark.createDataFrame([(d, f, "text") for d, f in (("a", "fa"), ("b", "fb"), ("c_2030", "fc"), ("d", "fd"))], "doc_id string, source_file string, text string").write.parquet(f"{tmp_path}/cleaned_docs.parquet")
+    spark.createDataFrame(cut, "chunk_id string, doc_id string, source_file string, text string").write.parquet(f"{tmp_path}/chunks.parquet")
+    got = {r.doc_id: (r.chunks, r.kept_chunks, r.pii_chunks) for r in queries.doc_drilldown(spark, str(tmp_path)).collect()}
+    assert got == {"a": (3, 2, 1), "b": (0, 0, 0), "c_2030": (1, 1, 0), "d": (0, 0, 0)}
+
+
 def test_gold(spark):
     gold = spark.createDataFrame([("1", "positive", "a@b.org x@y.org", [("EMAIL", "a@b.org"), ("EMAIL", "x@y.org")]), ("2", "negative", "born 01-01-1980", []), ("2", "odd", "text", [("PAN", "nope")])], "id string, kind string, text string, pii array<struct<type:string,value:string>>")
     got = {r.entity_type: (r.expected, r.hit, r.leaked, r.false_alarms) for r in evaluate.scores(gold).collect()}
