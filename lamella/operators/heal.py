@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.functions import text as X
+from lamella.operators import dedup
+from lamella.session import written
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -104,14 +106,21 @@ def healed(docs: DataFrame, **options) -> DataFrame:
 
 
 def purity(docs: DataFrame) -> DataFrame:
-    """One row: chunks, those with Devanagari or a page marker, PIN-shaped spans, exact copies, characters."""
+    """One row: chunks, those with Devanagari or a page marker, PIN-shaped spans, copies, characters.
+
+    Copies are exact and near ones by the rule of deduplication, chunks being visited in order of document and place.
+    """
     marker = r"(?i)\bP ?age\s*(\|\s*)?[0-9]+(\s+of\s+[0-9]+)?"
-    cut = docs.select(F.explode(X.chunks("text")).alias("chunk"))
+    cut = docs.select("doc_id", F.posexplode(X.chunks("text")).alias("idx", "chunk"))
     own = cut.agg(
         F.count("*").alias("chunks"),
         F.count_if(F.col("chunk").rlike(r"[\x{900}-\x{97F}]")).alias("chunks_with_devanagari"),
         F.count_if(F.col("chunk").rlike(marker)).alias("chunks_with_page_marker"),
         F.coalesce(F.sum(F.regexp_count("chunk", F.lit(r"(?<![\p{L}\p{N}_])[1-9][0-9]{5}(?![\p{L}\p{N}_])"))), F.lit(0)).alias("pincode_spans"),
     )
-    copies = cut.groupBy(F.xxhash64("chunk"), F.hash("chunk")).agg((F.count("*") - 1).alias("more")).agg(F.coalesce(F.sum("more"), F.lit(0)).alias("duplicate_chunks"))
+    # no document goes before another one, so the order has no year
+    seen = written(dedup.exact(cut.select("doc_id", "idx", F.lit(0).alias("year"), F.col("chunk").alias("text"))), "copies")
+    near = dedup.greedy(dedup.banded(seen.where("kept").select("rank", "text")))
+    copies = seen.agg(F.count_if(~F.col("kept")).alias("exact")).crossJoin(near.agg(F.count_if(~F.col("kept")).alias("near")))
+    copies = copies.select((F.col("exact") + F.col("near")).alias("duplicate_chunks"))
     return own.crossJoin(copies).crossJoin(docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("total_chars")))

@@ -91,6 +91,16 @@ def test_furniture(spark):
     assert got["d"] == "\n".join(x for p in page for x in p[:-1]) and got["e"] == docs.where("doc_id = 'e'").first().text
 
 
+def test_purity_counts_near_copies(spark):
+    base = words(31, 180).split()
+    texts = [" ".join(base), " ".join(base), " ".join([*base[:-1], "changed"]), words(32, 180)]
+    docs = spark.createDataFrame([(f"d{i}_20{30 - i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    got = heal.purity(docs).first()
+    assert (got.chunks, got.duplicate_chunks) == (4, 2)
+    change = {r.side: r.duplicate_chunks for r in pipeline.purity_change(docs, docs.limit(0)).collect()}
+    assert change == {"before": 2, "after": 0}
+
+
 def test_splits_are_joined(spark):
     docs = spark.createDataFrame([("a", "f", "financial risk financial market financial year"), ("b", "g", "the f inancial risk and in form")], "doc_id string, source_file string, text string")
     got = {r.doc_id: (r.text, r.repairs) for r in heal.repaired(docs).collect()}
