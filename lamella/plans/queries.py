@@ -231,14 +231,26 @@ def doctype_classify(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doctype_held_out(spark: SparkSession, sf: str) -> DataFrame:
+    """Each file classified without itself; its near copies stay in training."""
+    return search.held_out(written(_labelled(spark, sf), "labelled"), "source_file", "label")
+
+
+def doctype_held_out_family(spark: SparkSession, sf: str) -> DataFrame:
+    """Each file classified without its family of near copies."""
     docs = written(_labelled(spark, sf), "labelled")
-    return search.held_out(docs, "source_file", "label", F.coalesce("source", F.lit("")))
+    families = versions.families(docs.select(F.col("source_file").alias("doc_id"), "text")).withColumnRenamed("doc_id", "source_file")
+    own = written(docs.join(families, "source_file", "left"), "labelled")
+    return search.held_out(own, "source_file", "label", F.coalesce("family", "source_file"))
 
 
 def doctype_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return search.accuracy(doctype_held_out(spark, sf), "label")
 
 
+def doctype_accuracy_family(spark: SparkSession, sf: str) -> DataFrame:
+    return search.accuracy(doctype_held_out_family(spark, sf), "label")
+
+
 def label_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Files on one side only: labelled without a text, or with a text and no label."""
     a = table(spark, sf, "doc_labels").where("source_file is not null").select("source_file").distinct()

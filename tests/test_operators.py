@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -300,6 +302,62 @@ def test_doctype(spark):
     assert acc.n_documents == 6 and acc.n_scored == 5 and acc.accuracy == 1.0
 
 
+def brute_held_out(rows, group):
+    """(predicted, score) of each row by a model built anew from the rows of other groups."""
+    out = {}
+    for key, _, text, *_ in rows:
+        rest = [(r[1], Counter(r[2].split())) for r in rows if group[r[0]] != group[key]]
+        df = Counter(t for _, c in rest for t in c)
+        idf = lambda t: math.log((len(rest) + 1) / (df[t] + 1)) + 1
+        cents = defaultdict(Counter)
+        for label, c in rest:
+            for t, n in c.items():
+                if df[t] / len(rest) <= 0.5:
+                    cents[label][t] += n / c.total()
+        own = Counter(t for t in text.split() if df[t] / len(rest) <= 0.5)
+        v = {t: n / own.total() * idf(t) for t, n in own.items()}
+        best = []
+        for label in {x for x, _ in rest}:
+            c = {t: w * idf(t) for t, w in cents[label].items()}
+            norm = math.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in c.values()))
+            best.append((-round(sum(x * c.get(t, 0) for t, x in v.items()) / norm, 9) if norm else 0.0, label))
+        out[key] = (min(best)[1], round(-min(best)[0], 6))
+    return out
+
+
+def test_held_out_equals_models_built_anew(spark):
+    r = random.Random(7)
+    common = [f"com{i}" for i in range(4)]
+    rows = []
+    for i in range(24):
+        label = "xyz"[i % 3]
+        own = [f"{label}word{r.randrange(6)}" for _ in range(8)] + [f"any{r.randrange(12)}" for _ in range(6)] + r.sample(common, 2)
+        rows.append((f"f{i:02}", label, " ".join(own)))
+    rows.append(("only", "w", "unheard words"))
+    docs = spark.createDataFrame(rows, "source_file string, label string, text string")
+    family = {k: "pair" if k in ("f00", "f03", "f01") else k for k, *_ in rows}
+    for group, column in (({k: k for k in family}, None), (family, F.when(F.col("source_file").isin("f00", "f03", "f01"), "pair").otherwise(F.col("source_file")))):
+        got = search.held_out(docs, "source_file", "label", column).collect()
+        assert {r.source_file: r.predicted for r in got} == {k: v[0] for k, v in brute_held_out(rows, group).items()}
+        assert all(abs(r.score - brute_held_out(rows, group)[r.source_file][1]) < 2e-6 for r in got)
+        assert [r.source_file for r in got if not r.scored] == ["only"]
+
+
+def test_held_out_by_document_and_by_family(spark, tmp_path):
+    alike = words(50, 60)
+    texts = {"a": f"{alike} one", "b": f"{alike} two", "c": words(51, 60), "d": words(51, 60) + " cash"}
+    labels = {"a": "x", "b": "x", "c": "y", "d": "z"}
+    spark.createDataFrame([(k, k, t) for k, t in texts.items()], "doc_id string, source_file string, text string").write.parquet(f"{tmp_path}/cleaned_docs.parquet")
+    spark.createDataFrame([(k, v, "one publisher") for k, v in labels.items()], "source_file string, label string, source string").write.parquet(f"{tmp_path}/doc_labels.parquet")
+    alone = {r.source_file: (r.predicted, r.scored) for r in queries.doctype_held_out(spark, str(tmp_path)).collect()}
+    assert alone["a"] == alone["b"] == ("x", True) and not alone["c"][1] and alone["c"][0] == "z"
+    family = {r.source_file: r.scored for r in queries.doctype_held_out_family(spark, str(tmp_path)).collect()}
+    assert family == dict.fromkeys("abcd", False)
+    assert {"doctype_held_out_family", "doctype_accuracy_family"} <= set(queries.queries())
+    got = queries.doctype_accuracy(spark, str(tmp_path)).first()
+    assert (got.n_scored, got.accuracy, got.accuracy_of_all) == (2, 1.0, 0.5)
+
+
 def test_filters(spark):
     rows = [("ok", " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60))), ("short", "few words"), ("numbers", "1234 5678 " * 30), ("none", None)]
     got = {r.k: r.f for r in spark.createDataFrame(rows, "k string, text string").select("k", filters.failed_filters("text").alias("f")).collect()}
