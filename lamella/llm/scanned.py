@@ -6,14 +6,16 @@ document, at a distance, once digits are masked and glyphs reduced to strokes. B
 joined form the corpus knows far better than the parts. What remains is reflowed into paragraphs by SQL windows.
 
 The `head` most frequent words, a table of proven size, go to all workers with their counts and corrections; a line that
-needs a word beyond them leaves as an open case and is settled by joins with the whole word table.
+needs a word beyond them leaves as an open case with these words' names and is looked at again, by the same rules, once
+joins with the whole word table have told them.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import ChainMap
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -271,8 +273,8 @@ def _alpha(w: str) -> bool:
     return bool(w) and all(unicodedata.category(c)[0] in "LM" or c in "'’@" or c in "01569" for c in w)
 
 
-def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int]]) -> list[tuple[int, str, str, str, str, str]]:
-    """(line_no, noise, state, from, to, other) of a text; state is 'sure', or names what the word table must say."""
+def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int, bool]]) -> list[tuple[int, str, str, str, str, str]]:
+    """(line_no, noise, state, from, to, other) of a text; state is 'sure', or what is open: 'joined', with the parts at a line end, or 'line', with the line and the bounds of its tokens; other names the words that the word table must tell."""
     lines = text.split("\n")
     if len(lines) < 2 and len(text) < 20:
         return []
@@ -280,7 +282,6 @@ def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int]]) -> list[tu
     pages = page_lines(lines) if len(lines) > 3 else {}
     for i, kind in pages.items():
         out.append((i, kind, "sure", "", "", ""))
-    count, form = head.count, head.form
     body = [i for i, x in enumerate(lines) if i not in pages and x.strip()]
     follows = dict(zip(body, body[1:]))
     skip_first: set[int] = set()
@@ -296,49 +297,84 @@ def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int]]) -> list[tu
             if a and b and not gap and a[-1].isalpha() | (unicodedata.category(a[-1])[0] == "M") and (b[0].isalpha()):
                 end -= 1
                 skip_first.add(follows[i])
-                whole, compound = a + b, f"{a}-{b}"
-                tail = a.split("-")[-1] + b.split("-")[0]
-                n, m = max(count.get(whole, 0), count.get(tail, 0) if "-" in a or "-" in b else 0), count.get(compound, 0)
-                if last[-1] in "¬\xad":
+                asked = [] if head.whole or last[-1] in "¬\xad" else _asked_at_end(a, b, head)
+                if asked:
+                    out.append((i, "hyphen", "joined", last, nxt, " ".join(asked)))
+                elif last[-1] in "¬\xad" or _broken(a, b, head.count):
                     out.append((i, "hyphen", "sure", last, nxt, ""))
-                elif n or m or head.whole:
-                    if n >= m and (n or not compound_parts(a, b, count)):
-                        out.append((i, "hyphen", "sure", last, nxt, ""))
-                else:
-                    out.append((i, "hyphen", "joined", last, nxt, f"{whole} {compound}"))
         begin = 1 if i in skip_first else 0
-        before, strange, used = None, [], -1
-        for k in range(begin, end):
-            token = toks[k]
-            word, kind = fine.get(token) or _known(token, count, form, head.whole, fine)
-            if kind == NOTHING:
-                before = None
-                continue
-            if before is not None and kind != MIXED and (before + word in count or not head.whole and (before not in count or word not in count)):
-                case = _parted(toks[k - 1], token, before, word, lines[i], head)
-                if case == "sure":
-                    out.append((i, "split", "sure", f"{toks[k - 1]} {token}", toks[k - 1] + token, ""))
-                    used = k
-                    if strange and strange[-1] == k - 1:
-                        strange.pop()
-                    before = None
-                    continue
-                if case == "parts":
-                    rare = before if before not in count else word
-                    out.append((i, "split", "parts", f"{toks[k - 1]} {token}", toks[k - 1] + token, f"{before}{word} {rare}"))
-            if kind in (ODD, MIXED):
-                strange.append(k)
-            before = word if kind != MIXED and k != used else None
-        for k in strange:
-            w = fine[toks[k]][0] if toks[k] in fine else bare(toks[k])
-            if w in form:
-                out.append((i, "char", "sure", toks[k], form[w], ""))
-            elif w not in count and not head.whole:
-                out.append((i, "char", "form", toks[k], "", w))
+        asked = [] if head.whole else _asked_within(toks, begin, end, lines[i], head, fine)
+        if asked:
+            out.append((i, "", "line", lines[i], f"{begin} {end}", " ".join(asked)))
+        else:
+            out += [(i, noise, "sure", x, y, "") for noise, x, y in _within(toks, begin, end, lines[i], head.count, head.form, fine)]
     return out
 
 
-def compound_parts(a: str, b: str, count: dict[str, int]) -> bool:
+def _joins(a: str, b: str) -> list[str]:
+    """What parts at a line end may be once the hyphen goes: one word, or a compound's middle one."""
+    return [a + b, *[a.split("-")[-1] + b.split("-")[0]] * ("-" in a or "-" in b)]
+
+
+def _broken(a: str, b: str, count: Mapping[str, int]) -> bool:
+    """Whether the hyphen between a and b is the line end's only."""
+    n, m = max(count.get(x, 0) for x in _joins(a, b)), count.get(f"{a}-{b}", 0)
+    return n >= m and (n > 0 or not compound_parts(a, b, count))
+
+
+def _asked_at_end(a: str, b: str, head: Head) -> list[str]:
+    """The words beyond the head that _broken depends on; none of them is more frequent than the head's least."""
+    count = head.count
+    if any(x in count for x in _joins(a, b)) or count.get(f"{a}-{b}", 0) > head.least:
+        return []
+    return sorted({x for x in (*_joins(a, b), f"{a}-{b}", a, b) if x not in count})
+
+
+def _within(toks: list[str], begin: int, end: int, line: str, count: Mapping[str, int], form: Mapping[str, str], fine: dict[str, tuple[str, int, bool]]) -> list[tuple[str, str, str]]:
+    """(noise, from, to) of a line's tokens from begin to end."""
+    out, before, strange = [], None, []
+    for k in range(begin, end):
+        token = toks[k]
+        word, kind, _ = fine.get(token) or _known(token, count, form, fine)
+        if kind == NOTHING:
+            before = None
+            continue
+        if before is not None and kind != MIXED and before + word in count and _may_part(toks[k - 1], token, line):
+            if _outweighs(count[before + word], min(count.get(before, 0), count.get(word, 0)), count.get(f"{before}-{word}", 0)):
+                out.append(("split", f"{toks[k - 1]} {token}", toks[k - 1] + token))
+                if strange and strange[-1] == k - 1:
+                    strange.pop()
+                before = None
+                continue
+        if kind in (ODD, MIXED):
+            strange.append(k)
+        before = word if kind != MIXED else None
+    return out + [("char", toks[k], form[bare(toks[k])]) for k in strange]
+
+
+def _asked_within(toks: list[str], begin: int, end: int, line: str, head: Head, fine: dict[str, tuple[str, int, bool]]) -> list[str]:
+    """The words beyond the head that _within depends on."""
+    count, least, asked, before = head.count, head.least, set(), None
+    for k in range(begin, end):
+        word, kind, unknown = fine.get(toks[k]) or _known(toks[k], count, head.form, fine)
+        if unknown:
+            asked.add(word)
+        if before is not None and kind in (PLAIN, ODD):
+            n, x, y = count.get(before + word), count.get(before), count.get(word)
+            # a joined form is beyond the head: the parts must be rarer still
+            if (n if n is not None else least) >= 3 and (n is not None or x is None or y is None):
+                top = n if n is not None else least
+                low = min(x or 0, y or 0)
+                high = min(least if x is None else x, least if y is None else y)
+                dash = count.get(f"{before}-{word}")
+                open_ = n is None or top < 5 * high or dash is None and top <= 2 * least
+                if top >= 5 * low and (dash is None or top > 2 * dash) and open_ and _may_part(toks[k - 1], toks[k], line):
+                    asked |= {z for z in (before + word, before, word, f"{before}-{word}") if z not in count}
+        before = word if kind in (PLAIN, ODD) else None
+    return sorted(asked)
+
+
+def compound_parts(a: str, b: str, count: Mapping[str, int]) -> bool:
     """Whether two known words stand on either side of a hyphen, whose joined form nobody knows: a compound."""
     return count.get(a, 0) >= 3 and count.get(b, 0) >= 3 and len(a) > 2 and len(b) > 2
 
@@ -346,32 +382,31 @@ def compound_parts(a: str, b: str, count: dict[str, int]) -> bool:
 NOTHING, PLAIN, ODD, MIXED = range(4)
 
 
-def _known(token: str, count: dict[str, int], form: dict[str, str], whole: bool, memo: dict[str, tuple[str, int]]) -> tuple[str, int]:
-    """A token's word and what it is: no word, a plain one, one to look at, or one to look at that is no part of a parted word."""
+def _known(token: str, count: Mapping[str, int], form: Mapping[str, str], memo: dict[str, tuple[str, int, bool]]) -> tuple[str, int, bool]:
+    """A token's word, what it is (no word, a plain one, one that is misread, or a misread one that is no part of a parted word), and whether its form may be beyond the counts."""
     w = bare(token)
+    unknown = False
     if not w or not any(unicodedata.category(c)[0] == "L" for c in w):
         kind = NOTHING
     else:
-        look = w in form or not whole and w not in count and "/" not in w
-        kind = (ODD if look else PLAIN) if _alpha(w) else (MIXED if look else NOTHING)
+        unknown = len(w) >= 3 and "/" not in w and w not in count
+        kind = (ODD if w in form else PLAIN) if _alpha(w) else (MIXED if w in form else NOTHING)
     if len(memo) > 500_000:
         memo.clear()
-    memo[token] = (w, kind)
-    return w, kind
+    memo[token] = (w, kind, unknown)
+    return w, kind, unknown
 
 
-def _parted(a: str, b: str, x: str, y: str, line: str, head: Head) -> str:
-    """Whether tokens a and b are one word with a stray space: 'sure', 'parts' (the word table must say) or ''."""
+def _may_part(a: str, b: str, line: str) -> bool:
+    """Whether tokens a and b look as if one word had a stray space."""
     if a.rstrip(_KEEP) != a or b.lstrip(_KEEP) != b or f"{a} {b}" not in line:
-        return ""
-    if not b[0].islower() and not (a.isupper() and b.isupper()) and unicodedata.category(b[0]) not in ("Lo", "Mc", "Mn"):
-        return ""
-    count = head.count
-    n = count.get(x + y, 0)
-    part = min(count.get(x, head.least), count.get(y, head.least))
-    if n >= max(3, 5 * part) and n > 2 * count.get(f"{x}-{y}", 0):
-        return "sure"
-    return "parts" if not head.whole and (x not in count or y not in count) else ""
+        return False
+    return b[0].islower() or a.isupper() and b.isupper() or unicodedata.category(b[0]) in ("Lo", "Mc", "Mn")
+
+
+def _outweighs(n: int, part: int, dashed: int) -> bool:
+    """Whether a joined form's count tells against its rarer part and its form with a hyphen."""
+    return n >= max(3, 5 * part) and n > 2 * dashed
 
 
 NOISE = "line_no int, noise string, state string, `from` string, `to` string, other string"
@@ -408,33 +443,42 @@ def noise(records: DataFrame, key: str, text: str, head: int = 200_000, ratio: i
     schema = T.StructType([T.StructField("key", records.schema[key].dataType), *T._parse_datatype_string(NOISE).fields])
     found = rows.mapInArrow(_find(sent), schema)
     if not whole:
-        found = settled(written(found, "noise"), table, ratio)
+        found = settled(written(found, "noise"), table, sent)
     else:
         found = found.drop("other", "state")
     return found.distinct().withColumnRenamed("key", key)
 
 
-def _only_confused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [confused(f, w, 2 if odd_glyphs(w) else 1) for f, w in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
-        kept = batch.filter(pa.array(keep, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([kept.column(i) for i in range(5)], ["key", "line_no", "noise", "from", "to"])
+def _decide(sent: object):
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = sent.value
+        for batch in batches:
+            rows = []
+            for case, state, x, y, told in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                told = told or []
+                count = ChainMap({r["word"]: r["n"] for r in told}, head.count)
+                if state == "joined":
+                    if _broken(bare(x[:-1]), bare(y), count):
+                        rows.append((case, "hyphen", x, y))
+                    continue
+                form = ChainMap({r["word"]: r["form"] for r in told if misread(r["word"], r["n"], r["form"], r["form_n"], head.ratio)}, head.form)
+                begin, end = map(int, y.split())
+                rows += [(case, *found) for found in _within(x.split(), begin, end, x, count, form, {})]
+            cols = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["case", "noise", "from", "to"])
+
+    return go
 
 
-def settled(found: DataFrame, table: DataFrame, ratio: int) -> DataFrame:
-    """Open cases decided on the whole word table: joins on the words in question, which are rare ones."""
+def settled(found: DataFrame, table: DataFrame, sent: object) -> DataFrame:
+    """Open cases decided by the rules of noise_of: the words that they name, rare ones, are joined to them; equal cases are one."""
     sure = found.where("state = 'sure'").drop("state", "other")
-    forms = table.where(F.col("form") != F.col("word")).select(F.col("word").alias("other"), "n", F.col("form"), "form_n")
-    strange = F.col("other").rlike("[a-z]") & F.col("other").rlike("[0-9@$|\\x{370}-\\x{4FF}]")
-    char = found.where("state = 'form'").join(forms, "other").where((F.length("other") >= 3) & F.when(strange, F.col("form_n") >= F.greatest("n", F.lit(2))).otherwise(F.col("form_n") >= ratio * F.col("n")))
-    char = char.select("key", "line_no", "noise", "from", F.col("form").alias("to"), "other").mapInArrow(_only_confused, found.drop("state", "other").schema)
-    parts = found.where("state = 'parts'").withColumn("whole", F.substring_index("other", " ", 1)).withColumn("part", F.substring_index("other", " ", -1))
-    n = table.select(F.col("word").alias("whole"), F.col("n").alias("whole_n"))
-    m = table.select(F.col("word").alias("part"), F.col("n").alias("part_n"))
-    split = parts.join(n, "whole").join(m, "part", "left").where(F.col("whole_n") >= F.greatest(F.lit(3), 5 * F.coalesce("part_n", F.lit(0)))).select("key", "line_no", "noise", "from", "to")
-    joined = found.where("state = 'joined'").withColumn("whole", F.substring_index("other", " ", 1)).withColumn("part", F.substring_index("other", " ", -1))
-    hyphen = joined.join(n, "whole", "left").join(m, "part", "left").where(F.coalesce("whole_n", F.lit(0)) >= F.coalesce("part_n", F.lit(0))).select("key", "line_no", "noise", "from", "to")
-    return sure.unionByName(char).unionByName(split).unionByName(hyphen)
+    left = found.where("state <> 'sure'").withColumn("case", F.sha2(F.concat_ws("\n", "state", "from", "to"), 256))
+    cases = left.groupBy("case").agg(*[F.any_value(c).alias(c) for c in ("state", "from", "to", "other")])
+    named = cases.select("case", F.explode(F.split("other", " ")).alias("word")).join(table.where(F.length("word") <= 60), "word")
+    told = named.groupBy("case").agg(F.collect_list(F.struct("word", "n", "form", "form_n")).alias("told"))
+    decided = cases.join(told, "case", "left").select("case", "state", "from", "to", "told").mapInArrow(_decide(sent), "case string, noise string, `from` string, `to` string")
+    return sure.unionByName(left.select("key", "line_no", "case").join(decided, "case").drop("case"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -123,6 +123,23 @@ def scan(r):
     return [r.choice(body) for _ in range(15)]
 
 
+def test_size_of_the_head_does_not_change_scanned_noise(spark):
+    filler = " ".join(f"{w} " * 40 for w in "bank that rule form with from".split())
+    known = " ".join(f"{w} " * n for w, n in [("risk", 4), ("based", 4), ("well", 5), ("informed", 5), ("informed-consent", 6), ("over", 4), ("under", 4), ("overunder", 12), ("over-under", 7), ("account", 21), ("acc", 1), ("ount", 1), ("ledger", 30), ("counterpart", 9), ("counter", 2), ("part", 1), ("longterm", 5), ("term", 4)])
+    rows = [
+        ("known", f"{filler}\n{known}"),
+        ("hyphen", "the rule is risk-\nbased and it is well-in-\nformed or so\nof a non-counter-\npart and odd xyz-\nqrs or long-\nterm too"),
+        ("split", "here over under there\nthe acc ount of a bank\nthe counter part rule acc ount l1dger\nled ger or 1edger counterp4rt ledg3r\nhere o'er counter part ount"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    all_of = lambda head: sorted(map(tuple, scanned.noise(df, "doc_id", "text", head=head).collect()))
+    want = all_of(200_000)
+    assert {("split", "acc ount"), ("split", "counter part"), ("char", "1edger"), ("hyphen", "long-")} & {(r[2], r[3]) for r in want}
+    assert not any(r[3] == "risk-" for r in want)
+    for head in (3, 8, 12, 20):
+        assert all_of(head) == want
+
+
 def test_noise_of_scanned_pages(spark):
     r = random.Random(7)
     clean = "\n".join(x for _ in range(30) for x in scan(r))
