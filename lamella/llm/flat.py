@@ -55,6 +55,22 @@ def lookup(test, most: int = 0x3100) -> np.ndarray:
     return np.array([bool(test(chr(i))) for i in range(most)])
 
 
+class Classes:
+    """What a function says of each code point, of all planes; a code point is asked for once, when it first comes."""
+
+    def __init__(self, of):
+        self.of, self.known = of, np.full(0x110000, 255, np.uint8)
+
+    def __call__(self, cps: np.ndarray) -> np.ndarray:
+        got = self.known[cps]
+        new = got == 255
+        if new.any():
+            for c in np.unique(cps[new]).tolist():
+                self.known[c] = int(self.of(chr(c)))
+            got = self.known[cps]
+        return got
+
+
 def blocks(texts: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row behind the last, code points, bounds): row first + i is cps[bounds[i]:bounds[i + 1]]. A null is empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -12,6 +12,7 @@ joins with the whole word table have told them.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import ChainMap
@@ -27,11 +28,14 @@ from lamella.llm import flat
 from lamella.session import written
 
 HYPHENS = "-‐‑¬\xad"
-# Glyphs that scanners take for each other, single ones first, then those that look like several strokes.
-_SINGLES = "0o 1l 5s 6b 9g @a 8b $s |i \u00edi \u00eci \u00eei \u00efi \u03b9i \u0456i \u03bfo \u043eo \u0430a \u03b1a \u0435e \u0441c \u0440p \u0445x \u0443y \u03bdv \u00e9e \u00e8e \u00eae \u00ebe \u00e1a \u00e0a \u00e2a \u00e4a \u00e3a \u00e5a \u00f3o \u00f2o \u00f4o \u00f6o \u00f5o \u00fau \u00f9u \u00fbu \u00fcu \u00f1n \u00e7c"
-SINGLE_FROM, SINGLE_TO = "".join(x[0] for x in _SINGLES.split()), "".join(x[1] for x in _SINGLES.split())
+# Glyphs that scanners take for a plain letter, then letters that look like two strokes.
+SINGLES = {
+    "0": "o", "1": "l", "5": "s", "6": "b", "8": "b", "9": "g", "@": "a", "$": "s", "|": "i",
+    "í": "i", "ì": "i", "î": "i", "ï": "i", "ι": "i", "і": "i", "ο": "o", "о": "o", "а": "a", "α": "a", "е": "e", "с": "c", "р": "p", "х": "x", "у": "y", "ν": "v",
+    "é": "e", "è": "e", "ê": "e", "ë": "e", "á": "a", "à": "a", "â": "a", "ä": "a", "ã": "a", "å": "a", "ó": "o", "ò": "o", "ô": "o", "ö": "o", "õ": "o", "ú": "u", "ù": "u", "û": "u", "ü": "u", "ñ": "n", "ç": "c",
+}
+MERGED = {"e": "c", "l": "i", "f": "t"}
 STROKES = [("m", "rri"), ("n", "ri"), ("d", "ci"), ("w", "vv"), ("u", "ii"), ("h", "ii")]
-MERGED_FROM, MERGED_TO = "elft", "citt"
 
 
 def skeleton(word: str) -> str:
@@ -43,14 +47,15 @@ def skeleton(word: str) -> str:
     return out
 
 
-_SINGLE = {ord(a): b for a, b in zip(SINGLE_FROM, SINGLE_TO)}
-_MERGED = {ord(a): b for a, b in zip(MERGED_FROM, MERGED_TO)} | {ord("c"): "c"}
+_SINGLE, _MERGED = str.maketrans(SINGLES), str.maketrans(MERGED)
 # rn is m's strokes once n is two of them; l and i are one glyph, so cl, li and ii come out as d, h and u do
 
 
 def skeleton_column(word: str) -> F.Column:
     """skeleton() as a column."""
-    out = F.translate(F.translate(F.col(word), SINGLE_FROM, SINGLE_TO), MERGED_FROM, MERGED_TO)
+    out = F.col(word)
+    for table in (SINGLES, MERGED):
+        out = F.translate(out, "".join(table), "".join(table.values()))
     for a, b in STROKES:
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
@@ -65,21 +70,16 @@ def bare(token: str) -> str:
     return token.strip(_KEEP).lower()
 
 
-_T: dict[str, np.ndarray] = {}
-
-
-def _solid() -> np.ndarray:
-    if "t" not in _T:
-        _T["t"] = np.array([unicodedata.category(chr(i))[0] in "LMN" or chr(i) == "@" for i in range(0x10000)])
-        _T["l"] = np.array([unicodedata.category(chr(i))[0] == "L" for i in range(0x10000)])
-    return _T["t"]
+#: 2 letters, 1 marks, figures and @, 0 all others.
+_KINDS = flat.Classes(lambda c: 2 if unicodedata.category(c)[0] == "L" else unicodedata.category(c)[0] in "MN" or c == "@")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) to (word, n): partial counts of a block's words; words at a line end with a hyphen, and the next ones, are left out."""
     for batch in batches:
         for lo, hi, cps, bounds in flat.blocks(pa.array([(t or "").lower() for t in batch.column(0).to_pylist()], pa.string())):
-            solid = _solid()[np.minimum(cps, 0xFFFF)]
+            kinds = _KINDS(cps)
+            solid = kinds > 0
             ts, te = flat.spans(~flat.white(cps), bounds)
             at = np.flatnonzero(solid)
             i, j = np.searchsorted(at, ts), np.searchsorted(at, te)
@@ -97,8 +97,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             broken = hyphen & breaks
             after = np.zeros(len(ws), bool)
             after[1:] = broken[:-1]
-            letter = np.concatenate([[0], np.cumsum(_T["l"][np.minimum(cps, 0xFFFF)])])
-            use = ~broken & ~after & (letter[we] > letter[ws]) & (we - ws <= 60)
+            letter = np.concatenate([[0], np.cumsum(kinds == 2)])
+            use = ~broken & ~after & (letter[we] > letter[ws])
             ws, we = ws[use], we[use]
             if not len(ws):
                 continue
@@ -110,7 +110,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_table(texts: DataFrame) -> DataFrame:
     """(word, n, skeleton, form, form_n): every word of (text), its count, and the most frequent word of its skeleton."""
-    counted = texts.select("text").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = written(texts.select("text").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     keyed = counted.withColumn("skeleton", skeleton_column("word"))
     forms = keyed.where(F.col("word").rlike(r"^[a-z'’\-]+$")).groupBy("skeleton").agg(F.max(F.struct("n", "word")).alias("top"))
     return keyed.join(forms, "skeleton", "left").select("word", "n", F.col("top.word").alias("form"), F.col("top.n").alias("form_n"))
@@ -131,7 +131,11 @@ def misread(word: str, n: int, form: str | None, form_n: int | None, ratio: int)
 
 
 # What scanners take for what; either may stand for the other.
-CONFUSIONS = [tuple(x.split(">")) for x in "e>c i>l i>1 l>1 l>| t>f n>ri d>cl u>ii h>li m>rn w>vv o>0 s>5 s>$ g>9 b>6 b>8 a>@ a>\u0430 a>\u03b1 o>\u03bf o>\u043e e>\u0435 c>\u0441 p>\u0440 x>\u0445 y>\u0443 v>\u03bd i>\u03b9 i>\u0456 i>\u00ed a>\u00e1 e>\u00e9 o>\u00f3 u>\u00fa".split()]
+CONFUSIONS = [
+    ("e", "c"), ("i", "l"), ("i", "1"), ("l", "1"), ("l", "|"), ("t", "f"), ("n", "ri"), ("d", "cl"), ("u", "ii"), ("h", "li"), ("m", "rn"), ("w", "vv"),
+    ("o", "0"), ("s", "5"), ("s", "$"), ("g", "9"), ("b", "6"), ("b", "8"), ("a", "@"), ("a", "а"), ("a", "α"), ("o", "ο"), ("o", "о"), ("e", "е"), ("c", "с"), ("p", "р"), ("x", "х"), ("y", "у"), ("v", "ν"),
+    ("i", "ι"), ("i", "і"), ("i", "í"), ("a", "á"), ("e", "é"), ("o", "ó"), ("u", "ú"),
+]
 _BOTH = sorted({p for a, b in CONFUSIONS for p in ((a, b), (b, a))})
 
 
@@ -205,7 +209,7 @@ def page_lines(lines: list[str]) -> dict[int, str]:
     stripped = [x.strip() for x in lines]
     bare_at = []
     for i, s in enumerate(stripped):
-        if not s or len(s) > 24:
+        if not s:
             continue
         if PAGE_MARK.fullmatch(s):
             out[i] = "page_number"
@@ -225,7 +229,7 @@ def page_lines(lines: list[str]) -> dict[int, str]:
     keys: dict[str, list[int]] = {}
     plain: dict[str, list[int]] = {}
     for i, s in enumerate(stripped):
-        if i not in out and s and len(s) <= 90 and s[-1] not in ".;:?!।,":
+        if i not in out and s and s[-1] not in ".;:?!।,":
             plain.setdefault(s.translate(_NO_DIGITS), []).append(i)
     # only lines about as long as one that comes again can belong to a running header
     sizes = {len(k) + d for k, v in plain.items() if len(v) > 1 for d in range(-3, 4)}
@@ -259,8 +263,12 @@ def page_lines(lines: list[str]) -> dict[int, str]:
     return out
 
 
+#: Longer words stay out of the head, which so has a bounded size; they are looked up by joins.
+LONG = 60
+
+
 class Head:
-    """The most frequent words: counts, and corrections of those that are misread."""
+    """The most frequent words: counts, and corrections of those that are misread. whole: no word of up to LONG code points is beyond it."""
 
     def __init__(self, rows: list[tuple[str, int, str | None, int | None]], ratio: int, whole: bool):
         self.count = {w: n for w, n, _, _ in rows}
@@ -268,6 +276,15 @@ class Head:
         self.least = 0 if whole else min(self.count.values(), default=0)
         self.whole, self.ratio = whole, ratio
 
+    def beyond(self, word: str) -> bool:
+        """Whether only the word table can tell of the word."""
+        return word not in self.count and (not self.whole or len(word) > LONG)
+
+    def most(self, word: str) -> float:
+        """An upper bound of the word's count."""
+        n = self.count.get(word)
+        return n if n is not None else math.inf if len(word) > LONG else self.least
+
 
 def _alpha(w: str) -> bool:
     return bool(w) and all(unicodedata.category(c)[0] in "LM" or c in "'’@" or c in "01569" for c in w)
@@ -276,10 +293,8 @@ def _alpha(w: str) -> bool:
 def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int, bool]]) -> list[tuple[int, str, str, str, str, str]]:
     """(line_no, noise, state, from, to, other) of a text; state is 'sure', or what is open: 'joined', with the parts at a line end, or 'line', with the line and the bounds of its tokens; other names the words that the word table must tell."""
     lines = text.split("\n")
-    if len(lines) < 2 and len(text) < 20:
-        return []
     out: list[tuple[int, str, str, str, str, str]] = []
-    pages = page_lines(lines) if len(lines) > 3 else {}
+    pages = page_lines(lines)
     for i, kind in pages.items():
         out.append((i, kind, "sure", "", "", ""))
     body = [i for i, x in enumerate(lines) if i not in pages and x.strip()]
@@ -297,13 +312,14 @@ def noise_of(text: str, head: Head, fine: dict[str, tuple[str, int, bool]]) -> l
             if a and b and not gap and a[-1].isalpha() | (unicodedata.category(a[-1])[0] == "M") and (b[0].isalpha()):
                 end -= 1
                 skip_first.add(follows[i])
-                asked = [] if head.whole or last[-1] in "¬\xad" else _asked_at_end(a, b, head)
+                asked = [] if last[-1] in "¬\xad" else _asked_at_end(a, b, head)
                 if asked:
                     out.append((i, "hyphen", "joined", last, nxt, " ".join(asked)))
                 elif last[-1] in "¬\xad" or _broken(a, b, head.count):
                     out.append((i, "hyphen", "sure", last, nxt, ""))
         begin = 1 if i in skip_first else 0
-        asked = [] if head.whole else _asked_within(toks, begin, end, lines[i], head, fine)
+        # of a head without a gap, two words of half the length can't join to one beyond it
+        asked = [] if head.whole and max(map(len, toks)) * 2 <= LONG else _asked_within(toks, begin, end, lines[i], head, fine)
         if asked:
             out.append((i, "", "line", lines[i], f"{begin} {end}", " ".join(asked)))
         else:
@@ -323,11 +339,12 @@ def _broken(a: str, b: str, count: Mapping[str, int]) -> bool:
 
 
 def _asked_at_end(a: str, b: str, head: Head) -> list[str]:
-    """The words beyond the head that _broken depends on; none of them is more frequent than the head's least."""
-    count = head.count
-    if any(x in count for x in _joins(a, b)) or count.get(f"{a}-{b}", 0) > head.least:
+    """The words beyond the head that _broken depends on, if what the head knows of their counts leaves it open."""
+    joins, dashed, count = _joins(a, b), f"{a}-{b}", head.count
+    known, dash = max(count.get(x, 0) for x in joins), count.get(dashed, 0)
+    if known and known >= head.most(dashed) or dash > max(head.most(x) for x in joins):
         return []
-    return sorted({x for x in (*_joins(a, b), f"{a}-{b}", a, b) if x not in count})
+    return sorted({x for x in (*joins, dashed, a, b) if head.beyond(x)})
 
 
 def _within(toks: list[str], begin: int, end: int, line: str, count: Mapping[str, int], form: Mapping[str, str], fine: dict[str, tuple[str, int, bool]]) -> list[tuple[str, str, str]]:
@@ -353,23 +370,19 @@ def _within(toks: list[str], begin: int, end: int, line: str, count: Mapping[str
 
 
 def _asked_within(toks: list[str], begin: int, end: int, line: str, head: Head, fine: dict[str, tuple[str, int, bool]]) -> list[str]:
-    """The words beyond the head that _within depends on."""
-    count, least, asked, before = head.count, head.least, set(), None
+    """The words beyond the head that _within depends on: those that may be misread, and of pairs that may be one word, unless the head's bounds decide."""
+    count, asked, before = head.count, set(), None
     for k in range(begin, end):
         word, kind, unknown = fine.get(toks[k]) or _known(toks[k], count, head.form, fine)
-        if unknown:
+        if unknown and head.beyond(word):
             asked.add(word)
         if before is not None and kind in (PLAIN, ODD):
-            n, x, y = count.get(before + word), count.get(before), count.get(word)
-            # a joined form is beyond the head: the parts must be rarer still
-            if (n if n is not None else least) >= 3 and (n is not None or x is None or y is None):
-                top = n if n is not None else least
-                low = min(x or 0, y or 0)
-                high = min(least if x is None else x, least if y is None else y)
-                dash = count.get(f"{before}-{word}")
-                open_ = n is None or top < 5 * high or dash is None and top <= 2 * least
-                if top >= 5 * low and (dash is None or top > 2 * dash) and open_ and _may_part(toks[k - 1], toks[k], line):
-                    asked |= {z for z in (before + word, before, word, f"{before}-{word}") if z not in count}
+            joined, dashed = before + word, f"{before}-{word}"
+            n, dash = count.get(joined, 0), count.get(dashed, 0)
+            part = min(count.get(before, 0), count.get(word, 0))
+            may = _outweighs(head.most(joined), part, dash)
+            if may and not _outweighs(n, min(head.most(before), head.most(word)), head.most(dashed)) and _may_part(toks[k - 1], toks[k], line):
+                asked |= {z for z in (joined, before, word, dashed) if head.beyond(z)}
         before = word if kind in (PLAIN, ODD) else None
     return sorted(asked)
 
@@ -383,7 +396,7 @@ NOTHING, PLAIN, ODD, MIXED = range(4)
 
 
 def _known(token: str, count: Mapping[str, int], form: Mapping[str, str], memo: dict[str, tuple[str, int, bool]]) -> tuple[str, int, bool]:
-    """A token's word, what it is (no word, a plain one, one that is misread, or a misread one that is no part of a parted word), and whether its form may be beyond the counts."""
+    """A token's word, what it is (no word, a plain one, one that is misread, or a misread one that is no part of a parted word), and whether the counts don't have it, so that its form is open."""
     w = bare(token)
     unknown = False
     if not w or not any(unicodedata.category(c)[0] == "L" for c in w):
@@ -404,7 +417,7 @@ def _may_part(a: str, b: str, line: str) -> bool:
     return b[0].islower() or a.isupper() and b.isupper() or unicodedata.category(b[0]) in ("Lo", "Mc", "Mn")
 
 
-def _outweighs(n: int, part: int, dashed: int) -> bool:
+def _outweighs(n: float, part: float, dashed: float) -> bool:
     """Whether a joined form's count tells against its rarer part and its form with a hyphen."""
     return n >= max(3, 5 * part) and n > 2 * dashed
 
@@ -437,12 +450,14 @@ def noise(records: DataFrame, key: str, text: str, head: int = 200_000, ratio: i
     spark = records.sparkSession
     rows = records.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     table = written(word_table(rows), "words")
-    top = table.where((F.length("word") <= 60)).orderBy(F.desc("n"), "word").limit(head + 1).toArrow().to_pylist()
+    size = F.length("word")
+    top = table.where(size <= LONG).orderBy(F.desc("n"), "word").limit(head + 1).toArrow().to_pylist()
+    long = not table.where(size > LONG).isEmpty()
     whole = len(top) <= head
     sent = spark.sparkContext.broadcast(Head([(r["word"], r["n"], r["form"], r["form_n"]) for r in top[:head]], ratio, whole))
     schema = T.StructType([T.StructField("key", records.schema[key].dataType), *T._parse_datatype_string(NOISE).fields])
     found = rows.mapInArrow(_find(sent), schema)
-    if not whole:
+    if long or not whole:
         found = settled(written(found, "noise"), table, sent)
     else:
         found = found.drop("other", "state")
@@ -475,7 +490,7 @@ def settled(found: DataFrame, table: DataFrame, sent: object) -> DataFrame:
     sure = found.where("state = 'sure'").drop("state", "other")
     left = found.where("state <> 'sure'").withColumn("case", F.sha2(F.concat_ws("\n", "state", "from", "to"), 256))
     cases = left.groupBy("case").agg(*[F.any_value(c).alias(c) for c in ("state", "from", "to", "other")])
-    named = cases.select("case", F.explode(F.split("other", " ")).alias("word")).join(table.where(F.length("word") <= 60), "word")
+    named = cases.select("case", F.explode(F.split("other", " ")).alias("word")).join(table, "word")
     told = named.groupBy("case").agg(F.collect_list(F.struct("word", "n", "form", "form_n")).alias("told"))
     decided = cases.join(told, "case", "left").select("case", "state", "from", "to", "told").mapInArrow(_decide(sent), "case string, noise string, `from` string, `to` string")
     return sure.unionByName(left.select("key", "line_no", "case").join(decided, "case").drop("case"))
