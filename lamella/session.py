@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +46,69 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path inside the shared folder."""
-    return f"{shared_dir(spark)}/lamella/{name}-{uuid.uuid4().hex}"
+    """A fresh path inside the shared folder; release() deletes it, at the latest when the application ends."""
+    if not _SCRATCH:
+        atexit.register(_at_exit, spark)
+    _SCRATCH.append(f"{shared_dir(spark)}/lamella/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that written() has made; to be called once the results that rest on them have been read."""
+    while _SCRATCH:
+        remove(spark, _SCRATCH.pop())
+
+
+def _at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped before
+        release(spark)
+
+
+def _file(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, whichever it is, and the path in it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, at = _file(spark, path)
+    fs.delete(at, True)
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """A file that is there whole or not at all: written beside its place, then renamed."""
+    fs, at = _file(spark, path)
+    _, beside = _file(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if not fs.rename(beside, at):
+        raise OSError(f"{path} is there already")
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, in order; none if it isn't there."""
+    fs, at = _file(spark, folder)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session (a double underscore for a dot) for as long as the block runs."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
