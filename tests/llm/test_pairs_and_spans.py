@@ -4,9 +4,9 @@ import random
 import numpy as np
 import pytest
 
-from lamella.llm import flat, nearcopies
+from lamella.llm import flat, longspans, nearcopies
 from lamella.llm.leakage import leaks, sketch_size, words
-from lamella.llm.longspans import common_stretch, shared_share, shared_span_pairs, sliding_min_places
+from lamella.llm.longspans import SpanIndex, common_stretch, shared_share, shared_span_pairs, sliding_min_places
 
 
 def text(r, n, alphabet="abcdefghijklmnopqrstuvwxyz"):
@@ -128,17 +128,60 @@ def test_shared_share(spark):
         assert got[k].shared_chars == len(cover), k
 
 
-def test_index_compacts(spark):
-    from lamella.llm.longspans import SpanIndex
-
+def test_index_compacts_and_opens_again(spark, tmp_path):
     r = random.Random(5)
-    index = SpanIndex(spark, width=20, least=40, fan=2)
-    for i in range(5):
-        index.append(index.run(index.postings(spark.createDataFrame([(i, text(r, 60))], "text_id bigint, text string"))))
+    own = [text(r, 60) for _ in range(5)]
+    path = str(tmp_path / "index")
+    index = SpanIndex.create(spark, path, width=20, least=40, fan=2, buckets=3)
+    for i, t in enumerate(own):
+        (run,) = index.load(spark.createDataFrame([(i, t, 0)], "text_id bigint, text string, batch int"))
+        index.append(run)
     assert sorted(level for level, _ in index.runs) == [0, 2]
+    # another session knows nothing but the path; compaction lost no posting, and a new batch meets old ones
+    other = SpanIndex.open(spark.newSession(), path)
+    other.spark.sql(f"drop table {other.name}")
+    other = SpanIndex.open(spark.newSession(), path)
+    assert (other.runs, other.width, other.made) == (index.runs, 20, index.made)
+    runs = [n for _, n in other.runs]
+    want = spark.createDataFrame(list(enumerate(own)), "text_id bigint, text string").selectExpr("*", "0 as batch", "0 as run").select("text_id", "text", "run").mapInArrow(longspans._postings(20, 40), longspans.POSTING)
+    assert sorted(map(tuple, other.read(*runs).collect())) == sorted(map(tuple, want.drop("run").collect()))
+    (run,) = other.load(other.spark.createDataFrame([(9, own[2][50:200], 0)], "text_id bigint, text string, batch int"))
+    with other.sorted_scans():
+        met = other.matches(run)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert {(x.text_id, x.fresh) for x in met.collect()} == {(9, True), (2, False)}
+    # runs are read in their buckets: what moves are hashes that met, never a run
+    assert "Bucketed: true" in plan and "SelectedBucketsCount" in plan
+    assert all("FileScan" not in line for line in plan.splitlines() if "Exchange" in line)
     assert common_stretch("abcdef", "xbcdey", 2, 2, 2) == (1, 4)
 
 
+def test_registered_batches_reach_compaction(spark, tmp_path):
+    rows = [(k, t, f"2025-01-{1 + i:02}") for i, (k, t) in enumerate(span_rows())]
+    df = spark.createDataFrame(rows, "doc_id long, text string, at string").selectExpr("doc_id", "text", "cast(at as timestamp) as added_at")
+    path = str(tmp_path / "index")
+    got = {(x.doc_id_a, x.doc_id_b) for x in shared_span_pairs(df, "doc_id", "text", "added_at", path=path).collect()}
+    assert got == brute(span_rows(), 400)
+    assert max(level for level, _ in SpanIndex.open(spark, path).runs) > 0
+
+
+def test_texts_with_one_hash_are_told_apart(spark, monkeypatch):
+    real = longspans.F.xxhash64
+
+    class Weak:
+        """Functions in which the plain hash of a text is always 7."""
+
+        def __getattr__(self, name):
+            return (lambda *c: real(*c) if len(c) > 1 else real(longspans.F.lit(7))) if name == "xxhash64" else getattr(F, name)
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(longspans, "F", Weak())
+    df = spark.createDataFrame([(1, "a" * 50), (2, "b" * 50), (3, "a" * 50), (4, "short")], "doc_id long, text string")
+    ids = {x._key: x._id for x in longspans.identified(df, "doc_id", "text", 40).collect()}
+    assert ids[1] == ids[3] != ids[2] and set(ids) == {1, 2, 3}
+
+
 def test_leaks_equal_brute_force(spark):
     r = random.Random(6)
     items = [(i, text(r, 10 + i)) for i in range(12)] + [(90, None), (91, "few words")]
