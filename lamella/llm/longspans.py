@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamella.llm import flat
+from lamella.llm.identity import identified, one_text_each
 from lamella.session import names, put, remove, scratch, settings, written
 
 _U = np.uint64
@@ -305,26 +306,14 @@ def _pairs(have: DataFrame, by: list[str]) -> DataFrame:
     return a.join(b, by).where("x < y and (fa or fb)").select("x", "y")
 
 
-def identified(records: DataFrame, key: str, text: str, least: int) -> DataFrame:
-    """(key, text, text_id) of texts of at least `least` code points; equal ids mean equal texts.
-
-    Ids are 64 bits of hash; those that two texts share, told by 64 other bits, are a list about as long as n * n / 2**65, and get the hash of all 128.
-    """
-    own = records.where(F.col(key).isNotNull() & (F.length(text) >= least)).withColumns({"_key": F.col(key), "_text": F.col(text), "_id": F.xxhash64(text), "_more": F.xxhash64(F.lit(1), text)})
-    clash = [r[0] for r in own.groupBy("_id").agg(F.min("_more").alias("lo"), F.max("_more").alias("hi")).where("lo < hi").select("_id").collect()]
-    if clash:
-        own = own.withColumn("_id", F.when(F.col("_id").isin(clash), F.xxhash64("_id", "_more")).otherwise(F.col("_id")))
-    return own.drop("_more")
-
-
 def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, least: int, width: int, batches: int, fan: int, hot: int, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(members, met, links, windows): the keys of each text, the met postings of all batches as AROUND, the links of their classes, and hot windows.
 
     path: where the index is made, and stays with all records in it.
     """
     spark = records.sparkSession
-    base = identified(records, key, text, least)
-    base = base.select(F.col("_key").alias("key"), F.col("_text").alias("text"), F.col("_id").alias("text_id"), (F.unix_seconds(F.col(arrived).cast("timestamp")) if arrived else F.lit(None).cast("long")).alias("arrived"))
+    when = F.unix_seconds(F.col(arrived).cast("timestamp")) if arrived else F.lit(None).cast("long")
+    base = identified(records.where(F.length(text) >= least), key, text, when.alias("arrived"))
     members = base.groupBy("key", "text_id").agg(F.first(F.length("text")).alias("n"))
     cuts = base.agg(F.percentile_approx("arrived", [1 - 0.5 ** (i + 1) for i in range(batches - 1)], 1000)).first()[0] if arrived and batches > 1 else None
     number = F.lit(0)
@@ -339,10 +328,8 @@ def spans_index(records: DataFrame, key: str, text: str, arrived: str | None, le
     met = parts[0]
     for p in parts[1:]:
         met = met.unionByName(p)
-    # a text is fetched where one of its keys has it, so that copies, however many, are spread
     spots = met.groupBy("text_id").agg(F.collect_set(F.struct("batch", "fresh", "hash", "pos")).alias("spots"))
-    asked = spots.join(members.groupBy("text_id").agg(F.min("key").alias("key")), "text_id")
-    texts = base.select("text_id", "key", "text").join(asked, ["text_id", "key"]).dropDuplicates(["text_id"]).select("text_id", "text", "spots")
+    texts = one_text_each(base, spots).select("text_id", "text", "spots")
     texts = written(texts, "span-texts")
     near = written(texts.mapInArrow(_around(least - width, width), AROUND), "around")
     links, windows = class_links(near, texts.select("text_id", "text"), least, width, hot)

@@ -8,8 +8,11 @@ verified on its texts.
 The elements of a text are its distinct runs of `run` words; words are stretches without white space, lower-cased.
 
 Hot groups: texts that are equal are one class before anything is compared and a task signs a class once, so a group of
-copies costs a row or so a task however large it is, and is expanded only where a result asks for pairs of records. Bands
-with one class only are dropped by an aggregation of two longs a band, combined before the shuffle, before any join.
+copies costs a row or so a task however large it is; the product is pairs of classes (class_pairs) and their members (classes),
+and pairs of records are made of them only where a result asks for these. Bands with one class only are dropped by an
+aggregation of two longs a band, combined before the shuffle, before any join. The classes of a band with more than `hot`,
+such as a form filled in many ways, aren't all paired: only those are that have one of their rarest runs in common, which
+two such sets must have (prefix filter).
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.llm import flat
+from lamella.llm.identity import identified, one_text_each
 from lamella.session import written
 
 _U = np.uint64
@@ -142,28 +146,74 @@ def _verify(run: int, least: float):
 
 def classes(records: DataFrame, key: str, text: str) -> DataFrame:
     """(key, class_id, text): records whose texts are equal share a class_id."""
-    own = records.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return own.withColumn("class_id", F.xxhash64("text"))
+    return identified(records, key, text).withColumnRenamed("text_id", "class_id")
 
 
-def class_pairs(own: DataFrame, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24) -> DataFrame:
+def _texts(own: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked, (class_id, ...) each once, with the class's text."""
+    return one_text_each(own.withColumnRenamed("class_id", "text_id"), asked.withColumnRenamed("class_id", "text_id")).withColumnRenamed("text_id", "class_id")
+
+
+def _grams(run: int):
+    """(class_id, text) to (class_id, gram, n): the distinct runs of words, by their hash, and their number."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, cps, bounds in flat.blocks(pa.array([t.lower() for t in batch.column(1).to_pylist()], pa.string())):
+                words, row = _words(cps, bounds)
+                grams, first = flat.runs_of_words(words, row, run)
+                g, _, r = _distinct(grams, row[first])
+                n = np.bincount(r, minlength=hi - lo)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(r)), pa.array(flat.signed(g)), pa.array(n[r].astype(np.int32))], ["class_id", "gram", "n"])
+
+    return go
+
+
+def hot_candidates(many: DataFrame, own: DataFrame, least: float, run: int) -> DataFrame:
+    """(class_a, class_b) that can be alike, of the classes of the bands in `many` (band, class_id).
+
+    Of two sets of n runs with a similarity of `least`, the first n - ceil(least * n) + 1 of either, rarest first, hold a
+    shared one; and neither is smaller than `least` times the other.
+    """
+    texts = _texts(own, many.select("class_id").distinct()).select("class_id", "text")
+    grams = written(texts.mapInArrow(_grams(run), "class_id bigint, gram bigint, n int"), "grams")
+    common = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    own_order = Window.partitionBy("class_id").orderBy("df", "gram")
+    # runs that no other class has are the rarest of all: they come off the prefix first
+    shared = grams.join(common, "gram")
+    alone = grams.groupBy("class_id").agg(F.first("n").alias("all")).join(shared.groupBy("class_id").agg(F.count("*").alias("kept")), "class_id").select("class_id", (F.col("all") - F.col("kept")).alias("alone"))
+    rare = shared.join(alone, "class_id").withColumn("r", F.row_number().over(own_order) + F.col("alone")).where(F.col("r") <= F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1)
+    a, b = (rare.select("gram", F.col("class_id").alias(f"class_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
+    close = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-9
+    return a.join(b, "gram").where((F.col("class_a") < F.col("class_b")) & close).select("class_a", "class_b").distinct()
+
+
+def signed_bands(own: DataFrame, run: int = 5, rows: int = 4, bands: int = 24) -> DataFrame:
+    """(band, class_id) of each class with a run of words; written once: the texts are signed once, and a lost executor costs no signature."""
+    return written(own.select("class_id", "text").mapInArrow(band_rows(run, rows, bands), "band bigint, class_id bigint"), "bands")
+
+
+def class_pairs(own: DataFrame, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24, hot: int = 64) -> DataFrame:
     """(class_a, class_b, similarity): pairs of classes of different texts with a similarity of at least `least`.
 
     A pair exactly at 0.75 agrees on no band with probability (1 - 0.75**4)**24 = 1e-4; at 0.8 it is 3e-6.
     """
-    # written once: the texts are signed once, and a lost executor costs no signature
-    banded = written(own.select("class_id", "text").mapInArrow(band_rows(run, rows, bands), "band bigint, class_id bigint"), "bands")
+    banded = signed_bands(own, run, rows, bands)
     shared = banded.groupBy("band").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi").select("band")
     few = written(banded.join(shared, "band", "left_semi").distinct(), "shared-bands")
-    a, b = few.select("band", F.col("class_id").alias("class_a")), few.select("band", F.col("class_id").alias("class_b"))
+    many = few.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("band")
+    crowded = not many.isEmpty()
+    usual = few.join(many, "band", "left_anti") if crowded else few
+    a, b = usual.select("band", F.col("class_id").alias("class_a")), usual.select("band", F.col("class_id").alias("class_b"))
     pairs = a.join(b, "band").where("class_a < class_b").select("class_a", "class_b").distinct()
+    if crowded:
+        pairs = pairs.unionByName(hot_candidates(few.join(many, "band", "left_semi"), own, least, run)).distinct()
     return verified(pairs, own, least, run)
 
 
 def verified(pairs: DataFrame, own: DataFrame, least: float, run: int) -> DataFrame:
     """The pairs of classes that hold on the texts themselves; a text is fetched only where its class is in a pair."""
-    asked = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).distinct()
-    texts = own.select("class_id", "text").join(asked, "class_id", "left_semi").dropDuplicates(["class_id"])
+    texts = _texts(own, pairs.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).distinct())
     return (
         pairs.join(texts.select(F.col("class_id").alias("class_a"), F.col("text").alias("text_a")), "class_a")
         .join(texts.select(F.col("class_id").alias("class_b"), F.col("text").alias("text_b")), "class_b")
@@ -172,21 +222,61 @@ def verified(pairs: DataFrame, own: DataFrame, least: float, run: int) -> DataFr
     )
 
 
-def near_copy_pairs(records: DataFrame, key: str, text: str, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24) -> DataFrame:
-    """(key_a, key_b): all pairs of different keys whose texts have a similarity of at least `least`; the smaller key first.
+def _with_run(run: int):
+    """(class_id, text) to the class_ids whose text has a run of words; Python, so that Spark doesn't look at other texts first."""
 
-    Null keys and null texts give nothing, nor do texts with fewer words than a run. A row that comes again gives its
-    pairs once. A key with several texts has a pair where any of its texts has.
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [len(t.split(maxsplit=run - 1)) >= run for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["class_id"])
+
+    return go
+
+
+def near_copies(records: DataFrame, key: str, text: str, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24, hot: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(members, links): (key, class_id) of all records with a text, and (class_a, class_b) of the classes that are alike.
+
+    A class of several keys whose text has a run of words is linked to itself.
     """
     own = classes(records, key, text)
-    found = written(class_pairs(own, least, run, rows, bands).select("class_a", "class_b"), "near-copies")
+    found = class_pairs(own, least, run, rows, bands, hot).select("class_a", "class_b")
     members = own.select("key", "class_id").distinct()
-    # whether a class has a run of words at all is seen on its text, for classes of several keys only
     several = members.groupBy("class_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("class_id")
-    enough = F.size(F.filter(F.split("text", flat.WHITE_CLASS + "+"), lambda w: w != "")) >= run
-    equal = own.join(several, "class_id", "left_semi").where(enough).select("class_id").distinct()
-    links = found.unionByName(equal.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b")))
+    equal = _texts(own, several).select("class_id", "text").mapInArrow(_with_run(run), "class_id bigint")
+    return members, written(found.unionByName(equal.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))), "near-copies")
+
+
+def near_copy_pairs(records: DataFrame, key: str, text: str, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24, hot: int = 64) -> DataFrame:
+    """(key_a, key_b): all pairs of different keys whose texts have a similarity of at least `least`; the smaller key first.
+
+    Null keys and null texts give nothing, nor do texts with fewer words than a run. A row that comes again gives its
+    pairs once. A key with several texts has a pair where any of its texts has.
+    """
+    members, links = near_copies(records, key, text, least, run, rows, bands, hot)
     a = members.select(F.col("key").alias("ka"), F.col("class_id").alias("class_a"))
     b = members.select(F.col("key").alias("kb"), F.col("class_id").alias("class_b"))
     both = links.join(a, "class_a").join(b, "class_b").where("ka <> kb")
     return both.select(F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b")).distinct()
+
+
+def near_copy_groups(records: DataFrame, key: str, text: str, least: float = 0.8, run: int = 5, rows: int = 4, bands: int = 24, hot: int = 64) -> DataFrame:
+    """(key, group, links): each key with a text, the least key of the records it is linked to over any number of links, and to how many other keys its texts are alike.
+
+    Copies aren't paired: a key's links are the other members of its classes and the members of the classes linked to these.
+    """
+    from lamella.operators.versions import components
+
+    members, links = near_copies(records, key, text, least, run, rows, bands, hot)
+    size = members.groupBy("class_id").agg(F.count("*").alias("size"), F.min("key").alias("least"))
+    ways = links.where("class_a <> class_b").select(F.col("class_a").alias("class_id"), F.col("class_b").alias("other"))
+    ways = ways.unionByName(ways.select(F.col("other").alias("class_id"), F.col("class_id").alias("other")))
+    others = ways.join(size.select(F.col("class_id").alias("other"), "size"), "other").groupBy("class_id").agg(F.sum("size").alias("others"))
+    alike = links.where("class_a = class_b").select(F.col("class_a").alias("class_id"), F.lit(1).alias("alike"))
+    joined = size.join(others, "class_id", "left").join(alike, "class_id", "left").fillna(0, ["others", "alike"])
+    joined = joined.select("class_id", "least", (F.col("others") + F.col("alike") * (F.col("size") - 1)).alias("n"))
+    whole = components(links.where("class_a <> class_b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))).select(F.col("doc_id").alias("class_id"), "family")
+    named = joined.join(whole, "class_id", "left").withColumn("family", F.coalesce("family", "class_id"))
+    names = named.groupBy("family").agg(F.min("least").alias("group"))
+    # a key with several texts is in the group of the least name, and has the links of all of them
+    own = members.join(named.join(names, "family").select("class_id", "group", "n"), "class_id")
+    return own.groupBy(F.col("key").alias(key)).agg(F.min("group").alias("group"), F.sum("n").alias("links"))

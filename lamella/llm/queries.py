@@ -11,7 +11,7 @@ from lamella.llm.encoding import decoded, encoded
 from lamella.llm.language import Models, detected, mislabelled, train
 from lamella.llm.leakage import leaks
 from lamella.llm.longspans import shared_share, shared_span_pairs
-from lamella.llm.nearcopies import near_copy_pairs
+from lamella.llm.nearcopies import near_copy_groups, near_copy_pairs
 from lamella.llm.personal import found_types, redacted
 from lamella.llm.pieces import oversized, split
 from lamella.llm.prose import not_prose, text_stats
@@ -58,6 +58,10 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_copy_pairs(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text", least=0.75)
 
 
+def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copy_groups(table(spark, folder, "chunks").select("chunk_id", "text"), "chunk_id", "text", least=0.75)
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return disagreeing(table(spark, folder, "token_stats"), table(spark, folder, "chunks"))
 

@@ -3,8 +3,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lamella.llm import flat, longspans, nearcopies
+from lamella.llm import flat, identity, longspans, nearcopies
 from lamella.llm.leakage import leaks, sketch_size, words
 from lamella.llm.longspans import SpanIndex, common_stretch, shared_share, shared_span_pairs, sliding_min_places
 
@@ -172,20 +173,18 @@ def test_registered_batches_reach_compaction(spark, tmp_path):
 
 
 def test_texts_with_one_hash_are_told_apart(spark, monkeypatch):
-    real = longspans.F.xxhash64
+    real = F.xxhash64
 
     class Weak:
         """Functions in which the plain hash of a text is always 7."""
 
         def __getattr__(self, name):
-            return (lambda *c: real(*c) if len(c) > 1 else real(longspans.F.lit(7))) if name == "xxhash64" else getattr(F, name)
+            return (lambda *c: real(*c) if len(c) > 1 else real(F.lit(7))) if name == "xxhash64" else getattr(F, name)
 
-    from pyspark.sql import functions as F
-
-    monkeypatch.setattr(longspans, "F", Weak())
+    monkeypatch.setattr(identity, "F", Weak())
     df = spark.createDataFrame([(1, "a" * 50), (2, "b" * 50), (3, "a" * 50), (4, "short")], "doc_id long, text string")
-    ids = {x._key: x._id for x in longspans.identified(df, "doc_id", "text", 40).collect()}
-    assert ids[1] == ids[3] != ids[2] and set(ids) == {1, 2, 3}
+    ids = {x.key: x.text_id for x in identity.identified(df, "doc_id", "text").collect()}
+    assert ids[1] == ids[3] != ids[2] and len(set(ids.values())) == 3
 
 
 def test_leaks_equal_brute_force(spark):
