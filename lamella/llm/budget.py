@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamella.functions.joins import spread_join
 from lamella.llm import flat
 from lamella.llm.encoding import TOKENIZERS, ranks, vocabulary_file
 
@@ -31,19 +32,20 @@ def _counts(path: str):
     return go
 
 
-def with_counts(rows: DataFrame, text: str, tokenizer: str = "byte_bpe_50k", tokenizers: str = TOKENIZERS) -> DataFrame:
+def with_counts(rows: DataFrame, text: str, by: str, tokenizer: str = "byte_bpe_50k", tokenizers: str = TOKENIZERS) -> DataFrame:
     """rows without their text, with its number of tokens as tokens; a null text has 0. Each distinct text is counted once.
 
-    Texts are told apart by 96 bits of hash; the join back spreads over the hash, and copies of one text are joined
-    as one row of the smaller side, which adaptive execution splits where they are many.
+    Texts are told apart by 128 bits of hash; the join back spreads over the hash, and rows of a text that has many over the
+    hash of the column `by`.
     """
-    keyed = rows.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.hash(text))
+    keyed = rows.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.xxhash64(F.lit(1), text))
     distinct = keyed.where(F.col(text).isNotNull()).select("t1", "t2", F.col(text).alias("text")).dropDuplicates(["t1", "t2"])
     if tokenizer == "words":
         counted = distinct.select("t1", "t2", F.regexp_count("text", F.lit(flat.NOT_WHITE_CLASS + "+")).cast("long").alias("tokens"))
     else:
-        counted = distinct.mapInArrow(_counts(vocabulary_file(tokenizer, tokenizers)), "t1 bigint, t2 int, tokens bigint")
-    return keyed.drop(text).join(counted, ["t1", "t2"], "left").drop("t1", "t2").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+        counted = distinct.mapInArrow(_counts(vocabulary_file(tokenizer, tokenizers)), "t1 bigint, t2 bigint, tokens bigint")
+    # a null text's hash is its seed, which no text is counted for
+    return spread_join(keyed.drop(text), counted, ["t1", "t2"], "left", F.col(by)).drop("t1", "t2").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
 
 
 def recount(chunks: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def recount(chunks: DataFrame) -> DataFrame:
     A null text is a chunk without words; a chunk_id with several texts counts the longest by words. Null keys are a
     group of their own.
     """
-    counted = with_counts(chunks.select("run_id", "source_file", "chunk_id", "text"), "text", "words")
+    counted = with_counts(chunks.select("run_id", "source_file", "chunk_id", "text"), "text", "chunk_id", "words")
     once = counted.groupBy("run_id", "source_file", "chunk_id").agg(F.max("tokens").alias("tokens"))
     return once.groupBy("run_id", "source_file").agg(F.count("chunk_id").alias("chunks"), F.sum("tokens").alias("tokens"))
 
@@ -74,8 +76,8 @@ def budget(documents: DataFrame, labels: DataFrame, tokenizer: str = "byte_bpe_5
     slices of their own.
     """
     label = labels.where(F.col("source_file").isNotNull()).groupBy("source_file").agg(F.min(F.lower(F.trim("label"))).alias("label"))
-    own = documents.select("source", "lang", "domain", "source_file", "text", F.xxhash64("text").alias("of"), F.col("text").isNotNull().alias("has"))
-    counted = with_counts(own, "text", tokenizer, tokenizers)
+    own = documents.select("source", "lang", "domain", "source_file", "text", F.xxhash64("text").alias("of"), F.col("text").isNotNull().alias("has"), F.monotonically_increasing_id().alias("row"))
+    counted = with_counts(own, "text", "row", tokenizer, tokenizers).drop("row")
     named = counted.join(label, "source_file", "left").withColumn("domain", F.coalesce("domain", "label"))
     # copies are summed before slices: one row a distinct text and slice
     once = named.groupBy("source", "lang", "domain", "of").agg(F.count("*").alias("docs"), F.sum(F.col("has").cast("long")).alias("texts"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("one"))

@@ -1,6 +1,6 @@
 """Encoding a whole corpus with a public tokenizer through a table of distinct words.
 
-Spark splits each text into the tokenizer's words, counts the distinct ones, and has each encoded once. Ids come back
+Spark splits each text into the tokenizer's words, once, counts the distinct ones, and has each encoded once. Ids come back
 by position. The words of a corpus follow Zipf's law: the `head` most frequent ones of at most `head_bytes` bytes, a
 table of proven size, are sent to all workers and serve nearly all positions; the rest, each of which is rare, is joined
 by a shuffle on the word, so that no word is a hot key.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamella.functions.joins import spread_join
 from lamella.session import written
 
 #: Where the public tokenizers' files are; a parameter of every function here.
@@ -65,9 +66,9 @@ def _encode(path: str):
     return go
 
 
-def word_table(texts: DataFrame, text: str, path: str) -> DataFrame:
-    """(word, n, ids): every distinct word of the texts, how often it comes, and its ids; each is encoded once."""
-    counted = texts.select(F.explode(words_of(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+def word_table(cut: DataFrame, path: str) -> DataFrame:
+    """(word, n, ids): every distinct word of (words), how often it comes, and its ids; each is encoded once."""
+    counted = cut.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return counted.mapInArrow(_encode(path), "word string, n bigint, ids array<int>")
 
 
@@ -124,18 +125,19 @@ def encoded(texts: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50
     spark = texts.sparkSession
     path = vocabulary_file(tokenizer, tokenizers)
     base = texts.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    table = written(word_table(base, "text", path), "words")
+    cut = written(base.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), words_of("text").alias("words")), "cut")
+    table = written(word_table(cut, path), "words")
     # most frequent first, ties by word: at most `head` rows of at most `head_bytes` bytes
     top = table.where(F.octet_length("word") <= head_bytes).orderBy(F.desc("n"), "word").limit(head).select("word", "ids").toArrow()
     top_words = top.column("word").to_pylist()
     sent = spark.sparkContext.broadcast((top_words, top.column("ids").to_pylist()))
     first = spark.createDataFrame(top.select(["word"])) if top_words else spark.createDataFrame([], "word string")
-    keyed = base.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.hash("text"))
-    places = keyed.select("t1", "t2", F.posexplode(words_of("text")).alias("pos", "word")).join(F.broadcast(first), "word", "left_anti")
+    # equal texts have the same places, which are one before anything moves
+    places = cut.select("t1", "t2", F.posexplode("words").alias("pos", "word")).join(F.broadcast(first), "word", "left_anti").distinct()
     rare = table.join(F.broadcast(first), "word", "left_anti").select("word", "ids")
-    found = places.join(rare, "word").groupBy("t1", "t2").agg(F.array_sort(F.collect_set(F.struct("pos", "ids"))).alias("rest"))
+    found = places.join(rare, "word").groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("rest"))
     empty = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    whole = keyed.join(found, ["t1", "t2"], "left").select("doc", words_of("text").alias("words"), F.coalesce("rest", empty).alias("rest"))
+    whole = spread_join(cut, found, ["t1", "t2"], "left", F.col("doc")).select("doc", "words", F.coalesce("rest", empty).alias("rest"))
     kind = texts.schema[key].dataType
     schema = T.StructType([T.StructField("doc", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return whole.mapInArrow(_fill(sent), schema).withColumnRenamed("doc", key)
