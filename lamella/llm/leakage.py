@@ -59,7 +59,7 @@ def sketch_size(upper: int, containment: float) -> int:
 
 
 def sketches(items: list[tuple[object, str]], run: int, containment: float | None) -> dict[str, np.ndarray]:
-    """Sketches of all items: sorted hash values, the item of each, and by item the sketch size.
+    """Sketches of all items: sorted hash values, the item of each, and by item the sketch size, its shingles, and how many values a document must have to be a candidate.
 
     Partitions are by powers of two of the number of shingles. containment None means one shingle of the item.
     """
@@ -80,7 +80,11 @@ def sketches(items: list[tuple[object, str]], run: int, containment: float | Non
     some = rank < keep[of] if len(of) else np.zeros(0, bool)
     of, values = of[some], values[some]
     order = np.argsort(values, kind="stable")
-    return {"value": values[order], "item": of[order], "size": np.bincount(of, minlength=len(items)), "shingles": count}
+    size = np.bincount(of, minlength=len(items))
+    # a document with that containment lacks at most (1 - t) of the shingles, so at most as many of the sketch
+    least = containment if containment is not None else 1.0 / np.maximum(count, 1)
+    fewest = np.maximum(size - np.floor((1 - least) * count + 1e-9).astype(np.int64), 1)
+    return {"value": values[order], "item": of[order], "size": size, "shingles": count, "fewest": fewest}
 
 
 def _search(sent: object, run: int):
@@ -92,20 +96,18 @@ def _search(sent: object, run: int):
             docs, low = batch.column(0), batch.column(1)
             out_doc, out_item, out_share = [], [], []
             for lo, hi, row, grams in hashed(low, run):
-                at = np.searchsorted(value, grams)
-                hit = np.flatnonzero((at < len(value)) & (value[np.minimum(at, max(len(value) - 1, 0))] == grams)) if len(value) else []
-                cases: dict[tuple[int, int], set] = {}
-                for i in hit:
-                    p = at[i]
-                    while p < len(value) and value[p] == grams[i]:
-                        cases.setdefault((int(row[i]) + lo, int(item[p])), set()).add(int(value[p]))
-                        p += 1
+                first, n = np.searchsorted(value, grams, "left"), np.searchsorted(value, grams, "right")
+                n = n - first
+                hit = np.flatnonzero(n)
+                if not len(hit):
+                    continue
+                # all items of each value that is met, then each value of a document and item once
+                at = np.repeat(first[hit] - np.cumsum(n[hit]) + n[hit], n[hit]) + np.arange(n[hit].sum())
+                met = np.unique(np.stack([np.repeat(row[hit], n[hit]) + lo, item[at], at]), axis=1)
+                cases, found = np.unique(met[:2], axis=1, return_counts=True)
+                cases = cases[:, found >= sketch["fewest"][cases[1]]]
                 seen: dict[int, set] = {}
-                for (r, q), found in sorted(cases.items()):
-                    need = containment if containment is not None else 1.0 / sketch["shingles"][q]
-                    # a document with that containment lacks at most (1 - need) of the shingles, so at most as many of the sketch
-                    if len(found) < sketch["size"][q] - math.floor((1 - need) * sketch["shingles"][q] + 1e-9):
-                        continue
+                for r, q in cases.T.tolist():
                     if sets[q] is None:
                         w = words(texts[q])
                         sets[q] = {tuple(w[j : j + run]) for j in range(len(w) - run + 1)}
@@ -113,7 +115,7 @@ def _search(sent: object, run: int):
                         w = words(low[r].as_py())
                         seen[r] = {tuple(w[j : j + run]) for j in range(len(w) - run + 1)}
                     share = len(sets[q] & seen[r]) / len(sets[q])
-                    if share > 0 and share >= need - 1e-12:
+                    if share > 0 and (containment is None or share >= containment - 1e-12):
                         out_doc.append(r)
                         out_item.append(q)
                         out_share.append(share)
@@ -128,7 +130,8 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
     """(doc_key, item_key, containment): documents that hold at least the share `containment` of an item's shingles, by default one.
 
     The items are a stated query set: they are brought to the driver and sent to all workers as sketches, in as many
-    blocks of at most `most_chars` code points as they need, each of which the documents are streamed against. Null
+    blocks of about `most_chars` code points as they need, each of which the documents are streamed against. The driver
+    holds one block at a time. Null
     keys and texts, and items shorter than a shingle, give nothing; rows that come again give their cases once.
     """
     from pyspark.sql.pandas.types import to_arrow_type
