@@ -15,6 +15,7 @@ broadcast only if the term table is small.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamella.functions.joins import spread_join
 from lamella.session import written
 
 TYPES = ["EMAIL", "PHONE", "PAN", "AADHAAR", "ACCOUNT_NUMBER", "DATE", "ADDRESS", "PERSON_NAME"]
@@ -104,6 +106,33 @@ def _phone_form(raw: str, d: str) -> bool:
     return bool(re.match(r"\+ ?91|0091", raw) and len(d) in (12, 14) or re.match(r"\(0\d{2,4}\)", raw) and 10 <= len(d) <= 12)
 
 
+def _number(text: str, a: int, b: int) -> list[Candidate]:
+    """What a number of 9 to 18 digits from a to b can be."""
+    out: list[Candidate] = []
+    if not 9 <= sum(c.isdigit() for c in text[a:b]) <= 18:
+        return out
+    before, after = text[a - 1 : a], text[b : b + 1]
+    far = text[max(0, a - 2) : a]
+    if not (before.isalpha() or before in ",.₹@_/" and before or after.isalpha() or after in "%_" and after or after in ",." and text[b + 1 : b + 2].isdigit()):
+        if far[-1:] == "(":
+            a -= 1
+            far = text[max(0, a - 2) : a]
+        if far[-1:] == "+" or far == "+ ":
+            a -= 1 if far[-1:] == "+" else 2
+        raw = text[a:b].translate(_ASCII)
+        d = re.sub(r"\D", "", raw)
+        if len(set(d)) > 1 and not d.startswith(("1800", "1860")):
+            terms = left_terms(text, a) + right_terms(text, b)
+            groups = [len(g) for g in re.findall(r"\d+", raw)]
+            if len(d) == 12 and d[0] in "23456789" and raw[0] not in "+(" and groups in ([12], [4, 4, 4]):
+                out.append(("AADHAAR", a, b, int(check_digit_holds(d) and not (terms and re.match(r"<(?:# )*#$", terms[0]))), terms))
+            if _phone_form(raw, d) or len(d) == 10 and d[0] in "6789" and raw[0] not in "+(" and groups in ([10], [5, 5], [3, 3, 4]) or len(d) == 11 and d[0] == "0" and groups == [11]:
+                out.append(("PHONE", a, b, int(_phone_form(raw, d)), terms))
+            if raw[0] not in "+(":
+                out.append(("ACCOUNT_NUMBER", a, b, 0, terms))
+    return out
+
+
 def _numbers(text: str, runs: list[tuple[int, int]], old: int, out: list[Candidate]) -> None:
     """Candidates that are made of digits: numbers, tax numbers and dates."""
     i, n = 0, len(runs)
@@ -132,38 +161,34 @@ def _numbers(text: str, runs: list[tuple[int, int]], old: int, out: list[Candida
                     m = _DATE_LEFT.search(text, max(0, a - 24), a) if 1900 < year < 2100 else None
                     if m:
                         out.append(("DATE", m.start(), b, int(year <= old), left_terms(text, m.start()) + right_terms(text, b)))
-        elif 9 <= size <= 18:
-            before, after = text[a - 1 : a], text[b : b + 1]
-            far = text[max(0, a - 2) : a]
-            if not (before.isalpha() or before in ",.₹@_/" and before or after.isalpha() or after in "%_" and after or after in ",." and text[b + 1 : b + 2].isdigit()):
-                if far[-1:] == "(":
-                    a -= 1
-                    far = text[max(0, a - 2) : a]
-                if far[-1:] == "+" or far == "+ ":
-                    a -= 1 if far[-1:] == "+" else 2
-                raw = text[a:b].translate(_ASCII)
-                d = re.sub(r"\D", "", raw)
-                if len(set(d)) > 1 and not d.startswith(("1800", "1860")):
-                    terms = left_terms(text, a) + right_terms(text, b)
-                    groups = [len(g) for g in re.findall(r"\d+", raw)]
-                    if len(d) == 12 and d[0] in "23456789" and raw[0] not in "+(" and groups in ([12], [4, 4, 4]):
-                        out.append(("AADHAAR", a, b, int(check_digit_holds(d) and not (terms and re.match(r"<(?:# )*#$", terms[0]))), terms))
-                    if _phone_form(raw, d) or len(d) == 10 and d[0] in "6789" and raw[0] not in "+(" and groups in ([10], [5, 5], [3, 3, 4]) or len(d) == 11 and d[0] == "0" and groups == [11]:
-                        out.append(("PHONE", a, b, int(_phone_form(raw, d)), terms))
-                    if raw[0] not in "+(":
-                        out.append(("ACCOUNT_NUMBER", a, b, 0, terms))
+        elif size >= 9:
+            got = _number(text, a, b) if size <= 18 else []
+            if j > i and not any(c[0] in ("PHONE", "AADHAAR") for c in got):
+                # several numbers side by side: each run that white space parts from the others
+                for k in range(i, j + 1):
+                    x, y = runs[k]
+                    alone = (k == i or " " in text[runs[k - 1][1] : x]) and (k == j or " " in text[y : runs[k + 1][0]])
+                    if alone:
+                        got += [c for c in _number(text, x, y) if size > 18 or c[0] != "ACCOUNT_NUMBER"]
+            out += got
         i = j + 1
 
 
+def folded(text: str) -> str:
+    """In lower case, each code point for itself: places in it are places in the text."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def candidates(text: str, old: int = 1995, cues: tuple[list[str], list[str]] = ([], [])) -> list[Candidate]:
     """All places whose shape could be protected. Dates of the year `old` or before speak for a birth by themselves.
 
     cues: words before and behind which names are looked for in lower case, where nothing else shows them.
     """
     out: list[Candidate] = []
-    low = text.lower()
+    low = folded(text)
     mail: list[tuple[int, int]] = []
-    if ("@" in low or "(at)" in low or "[at]" in low or " at " in low and " dot " in low) and len(low) == len(text):
+    if "@" in low or "(at)" in low or "[at]" in low or " at " in low and " dot " in low:
         for m in _EMAIL.finditer(low):
             mail.append(m.span())
         if " dot " in low or "dot]" in low or "dot)" in low:
@@ -196,11 +221,12 @@ def candidates(text: str, old: int = 1995, cues: tuple[list[str], list[str]] = (
             continue
         titled.append((a, b))
         out.append(("PERSON_NAME", a, b, 1, left_terms(text, m.start()) + right_terms(text, b) + ["=" + p.lower() for p in parts]))
-    shouted = len(_SHOUT.findall(text[:200])) > 8
+    # capitals say nothing of names where more than eight words around are in capitals too
+    shouts = [m.start() for m in _SHOUT.finditer(text)]
     for m in _PAIR.finditer(text):
         a, b = m.span()
         value = m.group()
-        if shouted and value.isupper() or any(x <= a < y for x, y in titled) or text[a - 1 : a].isalnum() or text[a - 1 : a] in "@._+" and a:
+        if value.isupper() and bisect_left(shouts, b + 100) - bisect_left(shouts, a - 100) > 8 or any(x <= a < y for x, y in titled) or text[a - 1 : a].isalnum() or text[a - 1 : a] in "@._+" and a:
             continue
         left = left_terms(text, a)
         # one initial at the beginning of a sentence is a question's or an item's mark
@@ -208,26 +234,25 @@ def candidates(text: str, old: int = 1995, cues: tuple[list[str], list[str]] = (
             continue
         out.append(("PERSON_NAME", a, b, 0, left + right_terms(text, b) + ["=" + p.lower() for p in _parts(value)]))
         titled.append((a, b))
-    if len(low) == len(text):
-        found: dict[int, int] = {}
-        for cue in cues[0]:
-            at = low.find(cue)
-            while at >= 0:
-                m = _LOWER_NAME.match(text, at + len(cue))
-                if m and not any(x <= m.start() < y for x, y in titled):
-                    found[m.start(1)] = m.end(1)
-                at = low.find(cue, at + 1)
-        for cue in cues[1]:
-            at = low.find(cue)
-            while at >= 0:
-                m = _LOWER_BEFORE.search(text, max(0, at - 48), at)
-                if m and not any(x < m.end(1) <= y for x, y in titled) and m.end(1) not in found.values():
-                    found[m.start(1)] = m.end(1)
-                at = low.find(cue, at + 1)
-        for a, b in found.items():
-            parts = _parts(text[a:b])
-            if parts:
-                out.append(("PERSON_NAME", a, b, 0, left_terms(text, a) + right_terms(text, b) + ["=" + p.lower() for p in parts]))
+    found: dict[int, int] = {}
+    for cue in cues[0]:
+        at = low.find(cue)
+        while at >= 0:
+            m = _LOWER_NAME.match(text, at + len(cue))
+            if m and not any(x <= m.start() < y for x, y in titled):
+                found[m.start(1)] = m.end(1)
+            at = low.find(cue, at + 1)
+    for cue in cues[1]:
+        at = low.find(cue)
+        while at >= 0:
+            m = _LOWER_BEFORE.search(text, max(0, at - 48), at)
+            if m and not any(x < m.end(1) <= y for x, y in titled) and m.end(1) not in found.values():
+                found[m.start(1)] = m.end(1)
+            at = low.find(cue, at + 1)
+    for a, b in found.items():
+        parts = _parts(text[a:b])
+        if parts:
+            out.append(("PERSON_NAME", a, b, 0, left_terms(text, a) + right_terms(text, b) + ["=" + p.lower() for p in parts]))
     return out
 
 
@@ -260,8 +285,8 @@ def _extract(old: int, cues: tuple[list[str], list[str]]):
 
 
 def labelled_rows(labelled: DataFrame, most: int) -> list[tuple[str, list[tuple[str, str]]]]:
-    """At most `most` labelled texts, in order of their text, with their protected (type, value)."""
-    rows = labelled.where(F.col("text").isNotNull()).orderBy("text").limit(most).collect()
+    """At most `most` labelled texts, those with the least hashes, with their protected (type, value)."""
+    rows = labelled.where(F.col("text").isNotNull()).orderBy(F.xxhash64("text"), "text").limit(most).collect()
     return [(r.text, [(x["type"], x["value"]) for x in r.pii or []]) for r in rows]
 
 
@@ -335,9 +360,11 @@ def protected_places(records: DataFrame, key: str, text: str, labelled: DataFram
     rows = records.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("text_id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("key", records.schema[key].dataType), T.StructField("text_id", T.LongType()), *T._parse_datatype_string(CANDIDATE).fields])
     places = written(rows.mapInArrow(_extract(old, cues), schema), "places")
-    told = disclosures(places, labels)
+    told = written(disclosures(places, labels), "disclosures")
     terms = places.select("key", "text_id", "shape", "start", "end", "own", F.posexplode("terms").alias("pos", "term"))
-    met = terms.join(told, ["shape", "term"], "left")
+    # common words stand at a large share of all places; there are fewer than 1,000 with over a thousandth of them
+    hot = told.crossJoin(F.broadcast(told.agg(F.sum("n").alias("all")))).where(F.col("n") * 1000 > F.col("all")).select("shape", "term", F.lit(True).alias("_hot"))
+    met = spread_join(terms, told, ["shape", "term"], "left", F.struct("text_id", "start"), hot)
 
     def side(mark: str) -> F.Column:
         return F.min_by("rate", F.when(F.col("term").startswith(mark) & F.col("rate").isNotNull(), F.col("pos")))
