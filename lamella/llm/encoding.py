@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamella.functions.joins import spread_join
+from lamella.functions.joins import hot_keys, spread_join
 from lamella.session import written
 
 #: Where the public tokenizers' files are; a parameter of every function here.
@@ -73,7 +73,7 @@ def word_table(cut: DataFrame, path: str) -> DataFrame:
 
 
 def _fill(head_words: object):
-    """(doc, words, rest) to (doc, ids): ids of the head by lookup, others from rest, which has them by position."""
+    """(doc, text, sizes, rest) to (doc, ids): the words are the text cut into pieces of so many bytes; ids of the head by lookup, others from rest, which has them by position."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, lists = head_words.value
@@ -82,10 +82,15 @@ def _fill(head_words: object):
         known_flat = np.fromiter((i for x in lists for i in x), np.int32)
         known_at = np.concatenate([[0], np.cumsum(known_size[:-1])]).astype(np.int64)
         for batch in batches:
-            column, rest = batch.column(1), batch.column(2)
+            text, column, rest = batch.column(1), batch.column(2), batch.column(3)
             offsets = column.offsets.to_numpy().astype(np.int64)
-            own = column.values.slice(offsets[0], offsets[-1] - offsets[0])
+            sizes = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
             offsets = offsets - offsets[0]
+            # texts stand one behind the other in one buffer, so the words are slices of it: nothing is copied
+            _, places, data = text.buffers()
+            first = np.frombuffer(places, np.int32)[text.offset] if len(text) else 0
+            edges = (np.concatenate([[0], np.cumsum(sizes)]) + first).astype(np.int32)
+            own = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(edges.tobytes()), data if data is not None else pa.py_buffer(b""))
             coded = pc.dictionary_encode(own)
             place = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy(zero_copy_only=False)
             at = place[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int64) if len(own) else np.zeros(0, np.int64)
@@ -137,7 +142,9 @@ def encoded(texts: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50
     rare = table.join(F.broadcast(first), "word", "left_anti").select("word", "ids")
     found = places.join(rare, "word").groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("rest"))
     empty = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    whole = spread_join(cut, found, ["t1", "t2"], "left", F.col("doc")).select("doc", "words", F.coalesce("rest", empty).alias("rest"))
+    # a list of words is several times its text: the text is moved, with the words' sizes
+    moved = cut.select("doc", "t1", "t2", F.array_join("words", "").alias("text"), F.transform("words", lambda w: F.octet_length(w)).alias("sizes"))
+    whole = spread_join(moved, found, ["t1", "t2"], "left", F.col("doc"), hot_keys(cut, ["t1", "t2"])).select("doc", "text", "sizes", F.coalesce("rest", empty).alias("rest"))
     kind = texts.schema[key].dataType
     schema = T.StructType([T.StructField("doc", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return whole.mapInArrow(_fill(sent), schema).withColumnRenamed("doc", key)
