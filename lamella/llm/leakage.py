@@ -103,8 +103,17 @@ def _search(sent: object, run: int):
                     continue
                 # all items of each value that is met, then each value of a document and item once
                 at = np.repeat(first[hit] - np.cumsum(n[hit]) + n[hit], n[hit]) + np.arange(n[hit].sum())
-                met = np.unique(np.stack([np.repeat(row[hit], n[hit]) + lo, item[at], at]), axis=1)
-                cases, found = np.unique(met[:2], axis=1, return_counts=True)
+                doc = np.repeat(row[hit], n[hit]) + lo
+                order = np.lexsort((at, item[at], doc))
+                at, doc = at[order], doc[order]
+                new = np.ones(len(at), bool)
+                new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
+                at, doc = at[new], doc[new]
+                edge = np.ones(len(at), bool)
+                edge[1:] = (item[at[1:]] != item[at[:-1]]) | (doc[1:] != doc[:-1])
+                begin = np.flatnonzero(edge)
+                found = np.diff(np.append(begin, len(at)))
+                cases = np.stack([doc[begin], item[at[begin]]])
                 cases = cases[:, found >= sketch["fewest"][cases[1]]]
                 seen: dict[int, set] = {}
                 for r, q in cases.T.tolist():
