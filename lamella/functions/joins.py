@@ -1,8 +1,8 @@
-"""Joins in which one key may hold a large share of the rows."""
+"""Joins and running sums in which one key may hold a large share of the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,17 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str, by:
     a = left.join(hot, on, "left").withColumn("_way", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(ways)).cast("int")).otherwise(0)).drop("_hot")
     b = right.join(hot, on, "left").withColumn("_way", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
     return a.join(b, [*on, "_way"], how).drop("_way")
+
+
+def prefix_sums(rows: DataFrame, by: list[str], order: str, value: str, block: int = 4096) -> DataFrame:
+    """rows with `before`, the sum of `value` over the rows of the same `by` with a smaller `order`, a whole number, none twice.
+
+    Sums are made on two levels: within blocks of the order, and over the sums of the blocks, so that the rows of a group,
+    however many, are in one task only as one number a block.
+    """
+    cut = rows.withColumn("_block", F.floor(F.col(order) / block))
+    sums = cut.groupBy(*by, "_block").agg(F.sum(value).alias("_sum"))
+    earlier = F.sum("_sum").over(Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*by, "_block", F.coalesce(earlier, F.lit(0)).alias("_earlier"))
+    within = F.sum(value).over(Window.partitionBy(*by, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return cut.join(sums, [*by, "_block"]).withColumn("before", F.coalesce(within, F.lit(0)) + F.col("_earlier")).drop("_block", "_earlier")

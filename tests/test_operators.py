@@ -241,14 +241,27 @@ def test_gold(spark):
 def test_pages(spark):
     body = words(4, 400).split()
     book = [" ".join(body[:150]), " ".join(body[150:300]), " ".join(body[300:])]
-    finder = pages.PageFinder(book)
-    assert finder.locate(" ".join(body[:100]))[:2] == (1, 1)
-    assert finder.locate(" ".join(body[100:250]))[:2] == (1, 2)
-    assert finder.locate("XX, " + " ".join(body[310:380]).upper())[:2] == (3, 3)
-    assert finder.locate("too short") is None and finder.locate(words(99, 30)) is None
-    chunks = spark.createDataFrame([("d__0", "d", 0, " ".join(body[:100])), ("e__0", "e", 0, "no pages kept for this one")], "chunk_id string, doc_id string, idx int, text string")
-    got = {r.chunk_id: (r.page_start, r.page_end) for r in pages.located(chunks, spark.createDataFrame([("d", book)], "doc_id string, pages array<string>")).collect()}
-    assert got == {"d__0": (1, 1), "e__0": (None, None)}
+    texts = [" ".join(body[:100]), " ".join(body[100:250]), "XX, " + " ".join(body[310:380]).upper(), "too short", words(99, 30), None, " ".join(body[380:]) + " and so on to the end"]
+    chunks = spark.createDataFrame([(f"{d}__{i}", d, i, t) for d in ("d", "e") for i, t in enumerate(texts)], "chunk_id string, doc_id string, idx int, text string")
+    kept = spark.createDataFrame([("d", book), ("f", book), ("g", None)], "doc_id string, pages array<string>")
+    want = [(1, 1), (1, 2), (3, 3), (None, None), (None, None), (None, None), (3, 3)]
+    for block in (512, 2, 1):
+        got = {r.chunk_id: (r.page_start, r.page_end) for r in pages.located(chunks, kept, block).collect()}
+        assert got == {**{f"d__{i}": x for i, x in enumerate(want)}, **{f"e__{i}": (None, None) for i in range(len(texts))}}
+    assert pages.located(chunks.limit(0), kept).count() == 0
+
+
+def test_places_that_come_again_follow_the_cursor(spark):
+    same = words(5, 20)
+    book = [f"{words(6, 30)} {same} {words(7, 200)}", f"{same} {words(8, 300)}", f"{words(9, 400)} {same}"]
+    texts = [words(6, 30), same, words(7, 200), same, words(8, 300), words(9, 400), same, same]
+    chunks = spark.createDataFrame([(f"d__{i}", "d", i, t) for i, t in enumerate(texts)], "chunk_id string, doc_id string, idx int, text string")
+    kept = spark.createDataFrame([("d", book)], "doc_id string, pages array<string>")
+    results = []
+    for block in (512, 3, 1):
+        results.append([(r.page_start, r.page_end) for r in pages.located(chunks, kept, block).orderBy("idx").collect()])
+    assert results[0] == results[1] == results[2]
+    assert [a for a, _ in results[0]] == [1, 1, 1, 2, 2, 3, 3, 3]
 
 
 def test_edit_kinds():
