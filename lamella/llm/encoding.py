@@ -66,12 +66,48 @@ def _encode(path: str):
     return go
 
 
+def _slices(text: pa.StringArray, sizes: pa.ListArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of all texts, which are cut into pieces of so many bytes, and where each text's begin; the last one is the end.
+
+    Texts stand one behind the other in one buffer, so the words are slices of it: nothing is copied.
+    """
+    offsets = sizes.offsets.to_numpy().astype(np.int64)
+    flat = sizes.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
+    _, places, data = text.buffers()
+    first = np.frombuffer(places, np.int32)[text.offset] if len(text) else 0
+    edges = (np.concatenate([[0], np.cumsum(flat)]) + first).astype(np.int32)
+    return pa.StringArray.from_buffers(len(flat), pa.py_buffer(edges.tobytes()), data if data is not None else pa.py_buffer(b"")), offsets - offsets[0]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, sizes) to (word, n), once a batch."""
+    for batch in batches:
+        words, _ = _slices(batch.column(0), batch.column(1))
+        got = pc.value_counts(words)
+        yield pa.RecordBatch.from_arrays([got.field("values"), got.field("counts")], ["word", "n"])
+
+
 def word_table(cut: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids): every distinct word of (words), how often it comes, and its ids; each is encoded once."""
-    counted = cut.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """(word, n, ids): every distinct word of (text, sizes), how often it comes, and its ids; each is encoded once."""
+    counted = cut.select("text", "sizes").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     return counted.mapInArrow(_encode(path), "word string, n bigint, ids array<int>")
 
 
+def _open(sent: object):
+    """(t1, t2, text, sizes) to (t1, t2, pos, word): the words beyond the head, with their places."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(sent.value[0], pa.string())
+        for batch in batches:
+            words, offsets = _slices(batch.column(2), batch.column(3))
+            at = np.flatnonzero(pc.index_in(words, value_set=known).is_null().to_numpy(zero_copy_only=False))
+            row = np.searchsorted(offsets, at, "right") - 1
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array((at - offsets[row]).astype(np.int32)), words.take(pa.array(at))], ["t1", "t2", "pos", "word"])
+
+    return go
+
+
 def _fill(head_words: object):
     """(doc, text, sizes, rest) to (doc, ids): the words are the text cut into pieces of so many bytes; ids of the head by lookup, others from rest, which has them by position."""
 
@@ -82,15 +118,8 @@ def _fill(head_words: object):
         known_flat = np.fromiter((i for x in lists for i in x), np.int32)
         known_at = np.concatenate([[0], np.cumsum(known_size[:-1])]).astype(np.int64)
         for batch in batches:
-            text, column, rest = batch.column(1), batch.column(2), batch.column(3)
-            offsets = column.offsets.to_numpy().astype(np.int64)
-            sizes = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
-            offsets = offsets - offsets[0]
-            # texts stand one behind the other in one buffer, so the words are slices of it: nothing is copied
-            _, places, data = text.buffers()
-            first = np.frombuffer(places, np.int32)[text.offset] if len(text) else 0
-            edges = (np.concatenate([[0], np.cumsum(sizes)]) + first).astype(np.int32)
-            own = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(edges.tobytes()), data if data is not None else pa.py_buffer(b""))
+            rest = batch.column(3)
+            own, offsets = _slices(batch.column(1), batch.column(2))
             coded = pc.dictionary_encode(own)
             place = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy(zero_copy_only=False)
             at = place[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int64) if len(own) else np.zeros(0, np.int64)
@@ -130,7 +159,9 @@ def encoded(texts: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50
     spark = texts.sparkSession
     path = vocabulary_file(tokenizer, tokenizers)
     base = texts.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    cut = written(base.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), words_of("text").alias("words")), "cut")
+    # a list of words is several times its text: what is kept and moved is the text, with the sizes of its words in bytes
+    sizes = F.transform(words_of("text"), lambda w: F.octet_length(w))
+    cut = written(base.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text", sizes.alias("sizes")), "cut")
     table = written(word_table(cut, path), "words")
     # most frequent first, ties by word: at most `head` rows of at most `head_bytes` bytes
     top = table.where(F.octet_length("word") <= head_bytes).orderBy(F.desc("n"), "word").limit(head).select("word", "ids").toArrow()
@@ -138,13 +169,11 @@ def encoded(texts: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50
     sent = spark.sparkContext.broadcast((top_words, top.column("ids").to_pylist()))
     first = spark.createDataFrame(top.select(["word"])) if top_words else spark.createDataFrame([], "word string")
     # equal texts have the same places, which are one before anything moves
-    places = cut.select("t1", "t2", F.posexplode("words").alias("pos", "word")).join(F.broadcast(first), "word", "left_anti").distinct()
+    places = cut.select("t1", "t2", "text", "sizes").mapInArrow(_open(sent), "t1 bigint, t2 bigint, pos int, word string").distinct()
     rare = table.join(F.broadcast(first), "word", "left_anti").select("word", "ids")
     found = places.join(rare, "word").groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("rest"))
     empty = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    # a list of words is several times its text: the text is moved, with the words' sizes
-    moved = cut.select("doc", "t1", "t2", F.array_join("words", "").alias("text"), F.transform("words", lambda w: F.octet_length(w)).alias("sizes"))
-    whole = spread_join(moved, found, ["t1", "t2"], "left", F.col("doc"), hot_keys(cut, ["t1", "t2"])).select("doc", "text", "sizes", F.coalesce("rest", empty).alias("rest"))
+    whole = spread_join(cut, found, ["t1", "t2"], "left", F.col("doc"), hot_keys(cut, ["t1", "t2"])).select("doc", "text", "sizes", F.coalesce("rest", empty).alias("rest"))
     kind = texts.schema[key].dataType
     schema = T.StructType([T.StructField("doc", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return whole.mapInArrow(_fill(sent), schema).withColumnRenamed("doc", key)
