@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from lamella.operators import evaluate, filters, quality, redact
+from lamella.plans import redaction_sql
+
 _S = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _NS = "[^" + _S[1:]
 _W = r"[\p{L}\p{N}_]"
@@ -34,8 +37,35 @@ _LABELLED = f"""{_FILES}, lab as (select source_file, min(lower(trim(label))) la
  txt as (select source_file, min(text) text from files where source_file is not null group by 1), docs as (select source_file, text, label from txt join lab using (source_file))"""
 
 
+_RED = f"own as materialized (select distinct chunk_id, doc_id, source_file, text from chunks where text is not null), src as (select chunk_id || chr(0) || md5(text) k, text from own group by 1, 2), {redaction_sql.chain('src')}"
+_PLACES = "unnest(regexp_extract_all(text, '\\[REDACTED_([A-Z_]+)\\]', 1))"
+_GOLD = f"gold as (select id || chr(0) || md5(text) k, id, kind, text, pii from pii_gold), src as (select distinct k, text from gold), {redaction_sql.chain('src')}"
+_VISIBLE = "least(2, length(regexp_replace(%s, '[^\\p{L}\\p{N}]', '', 'g')) // 3)"
+# a mail address keeps its domain; of the rest, letters and digits after the visible ones are starred
+_LOCAL = "case when kind = 'EMAIL' and contains(val, '@') then split_part(val, '@', 1) else val end"
+_MASK = (
+    f"array_to_string(list_transform(range(1, length({_LOCAL}) + 1), lambda i: case when regexp_matches(substr({_LOCAL}, cast(i as int), 1), '[\\p{{L}}\\p{{N}}]') and length(regexp_replace(left({_LOCAL}, cast(i as int)), '[^\\p{{L}}\\p{{N}}]', '', 'g')) > {_VISIBLE % _LOCAL} then '*' else substr({_LOCAL}, cast(i as int), 1) end), '')"
+    " || case when kind = 'EMAIL' and contains(val, '@') then substr(val, instr(val, '@')) else '' end"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "pii_redact": f"with {_RED} select chunk_id, red.text as text, case when review then 'needs_review' else 'confident' end validation_flag, shaped or named pii_redacted from own join red on red.k = chunk_id || chr(0) || md5(own.text)",
+        "pii_entity_totals": f"with {_RED} select kind entity_type, count(*) n from ent join own on ent.k = chunk_id || chr(0) || md5(own.text) group by kind",
+        "pii_validation_report": f"""with {_RED}, out as (select chunk_id, doc_id, source_file, red.text as text, review, shaped or named hit from own join red on red.k = chunk_id || chr(0) || md5(own.text)),
+ docs as (select doc_id, min(source_file) source_file, count(*) chunks, count(*) filter (where hit) chunks_with_pii, count(*) filter (where review) chunks_flagged_for_review, cast(sum(len(regexp_extract_all(text, '\[REDACTED_([A-Z_]+)\]', 1))) as bigint) pii_entities from out group by doc_id),
+ types as (select doc_id, t, count(*) n from (select doc_id, {_PLACES} t from out) group by 1, 2), maps as (select doc_id, string_agg(t || ':' || n, ',' order by t) entity_types, cast(count(*) as int) distinct_entity_types from types group by 1)
+ select docs.*, coalesce(entity_types, '') entity_types, coalesce(distinct_entity_types, 0) distinct_entity_types from docs left join maps using (doc_id)""",
+        "pii_stage_counters": f"""with {_RED}, v as (select verdict from verd join own on verd.k = chunk_id || chr(0) || md5(own.text)), out as (select doc_id, review, shaped or named hit from own join red on red.k = chunk_id || chr(0) || md5(own.text))
+ select (select count(*) from ent join own on ent.k = chunk_id || chr(0) || md5(own.text)) pii_entities_redacted, (select count(*) from out where hit) chunks_with_pii, (select count(distinct doc_id) from out where hit) documents_with_pii, (select count(*) from out where review) chunks_needing_review,
+ {', '.join(f"(select count(*) from v where verdict = '{v}') {n}" for n, v in redact.COUNTERS.items())}, 'rules' pii_engine, false name_detection_available, 'no name model is given; names are found behind titles only' name_detection_error""",
+        "pii_examples": f"""with {_RED}, every as (select kind, pass, place, val, k from ent union all select 'ACCOUNT_NUMBER_SUPPRESSED', 8, i, hit, k from account_number_v where verdict = 'account_suppressed'), e as (select kind, chunk_id, val, row_number() over (partition by kind order by chunk_id, pass, place) nr from every join own on every.k = chunk_id || chr(0) || md5(own.text))
+ select kind entity_type, cast(nr as int) nr, chunk_id doc_id, {_MASK} masked from e where nr <= 6""",
+        "pii_eval": f"""with {_GOLD}, own as (select gold.id, red.text as text, pii from gold join red using (k) where gold.kind <> 'public'), vals as (select id, text, unnest(pii) p from own), expd as (select id, p.type t, count(*) expected, count(*) filter (where contains(text, p.value)) leaked from vals group by 1, 2),
+ got as (select id, t, count(*) found from (select id, {_PLACES} t from own) group by 1, 2), sides as (select t, coalesce(expected, 0) expected, coalesce(found, 0) found, coalesce(leaked, 0) leaked from expd full join got using (id, t))
+ select t entity_type, cast(sum(expected) as bigint) expected, cast(sum(least(expected, found)) as bigint) hit, cast(sum(leaked) as bigint) leaked, cast(sum(greatest(found - expected, 0)) as bigint) false_alarms from sides group by t""",
+        "pii_eval_public": f"with {_GOLD} select id, t entity_type, count(*) found from (select gold.id, {_PLACES.replace('(text', '(red.text')} t from gold join red using (k) where gold.kind = 'public') group by 1, 2",
         "normalize_text": f"with {_DOCS} select doc_id, {_NORMAL} as text from docs",
         "clean_filter": f"with {_CLEAN} select doc_id, cast(char_count as int) char_count, reason from judged",
         "clean_reasons": f"with {_CLEAN}, k as (select unnest(['too_short', 'non_english']) reason) select (select count(*) from judged) docs_in, (select count(*) from judged where reason is null) docs_out, (select count(*) from judged where reason is not null) removed, k.reason, (select count(*) from judged j where j.reason = k.reason) n from k",

@@ -97,7 +97,8 @@ def quality_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyword_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.tagged(_chunks(spark, sf)).select("chunk_id", "regulatory_tagged", "regulatory_keywords_found", "regulatory_density_score")
+    own = quality.tagged(_chunks(spark, sf))
+    return own.select("chunk_id", "regulatory_tagged", F.array_join("regulatory_keywords_found", ",").alias("found"), "regulatory_density_score")
 
 
 def keyword_tags_words(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +133,9 @@ def pii_entity_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pii_validation_report(spark: SparkSession, sf: str) -> DataFrame:
-    return redact.validation_report(redact.redacted(_chunks(spark, sf)))
+    report = redact.validation_report(redact.redacted(_chunks(spark, sf)))
+    types = F.array_join(F.transform(F.array_sort(F.map_entries("entity_types")), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",")
+    return report.withColumn("entity_types", types)
 
 
 def pii_examples(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,10 +143,18 @@ def pii_examples(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("entity_type", "nr", "doc_id", X.masked("entity_type", "before").alias("masked"))
 
 
+def pii_stage_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return redact.stage_counters(redact.redacted(_chunks(spark, sf)))
+
+
 def pii_eval(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.scores(table(spark, sf, "pii_gold"))
 
 
+def pii_eval_public(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.public_hits(table(spark, sf, "pii_gold"))
+
+
 def gold_problems(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.invalid(table(spark, sf, "pii_gold"))
 

@@ -115,7 +115,7 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     """Write df as a table in the shared folder and read it back: lineage is cut, a lost executor costs nothing."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
