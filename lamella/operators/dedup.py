@@ -13,7 +13,9 @@ from lamella.functions import text as X
 from lamella.operators.clean import rank
 from lamella.session import written
 
-_PRIME = np.uint64((1 << 61) - 1)
+#: The hash functions are (a * x + b) mod PRIME of 32 bits of a shingle's MD5, so that any engine can compute them.
+PRIME = 4294967291
+COEFFICIENTS = [((2654435761 * (2 * j + 1)) % PRIME, (40503 * (j + 7) ** 3) % PRIME) for j in range(256)]
 
 
 def exact(chunks: DataFrame) -> DataFrame:
@@ -27,11 +29,9 @@ def exact(chunks: DataFrame) -> DataFrame:
     return own.join(firsts, ["hash", "rank"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
 
 
-def _bands(bands: int, rows: int, seed: int):
+def _bands(bands: int, rows: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(seed)
-        a = rng.integers(1, 1 << 61, bands * rows, dtype=np.uint64) | np.uint64(1)
-        b = rng.integers(0, 1 << 61, bands * rows, dtype=np.uint64)
+        a, b = (np.array(x, np.uint64) for x in zip(*COEFFICIENTS[: bands * rows]))
         for batch in batches:
             lists = batch.column(1)
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -39,10 +39,10 @@ def _bands(bands: int, rows: int, seed: int):
             offsets = offsets - offsets[0]
             sig = np.empty((len(lists), bands * rows), np.uint64)
             for j in range(bands * rows):
-                h = values * a[j] + b[j]
-                sig[:, j] = np.minimum.reduceat(h ^ (h >> np.uint64(29)), offsets[:-1]) if len(values) else 0
+                sig[:, j] = np.minimum.reduceat((values * a[j] + b[j]) % np.uint64(PRIME), offsets[:-1]) if len(values) else 0
             keys = np.zeros((len(lists), bands), np.uint64)
             for r in range(rows):
+                # band k has the values k * rows to k * rows + rows - 1
                 keys = (keys ^ sig[:, r::rows]) * np.uint64(0x9E3779B97F4A7C15)
                 keys ^= keys >> np.uint64(31)
             keys = keys + np.arange(bands, dtype=np.uint64)[None, :] * np.uint64(0xD1342543DE82EF95)
@@ -52,41 +52,51 @@ def _bands(bands: int, rows: int, seed: int):
     return go
 
 
-def banded(chunks: DataFrame, bands: int = 5, rows: int = 11, seed: int = 1) -> DataFrame:
+def banded(chunks: DataFrame, bands: int = 5, rows: int = 11) -> DataFrame:
     """(rank, band): the bands of each chunk's signature over its distinct runs of five words.
 
     5 bands of 11 minimise the false positives and negatives of a threshold of 0.8 with 64 hash functions.
     """
-    hashes = F.transform(X.shingles(X.words(F.lower("text"))), lambda s: F.xxhash64(s))
+    hashes = F.transform(X.shingles(X.words(F.lower("text"))), lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint"))
     # every chunk has at least one shingle, so no list is empty
-    return chunks.select("rank", hashes.alias("h")).mapInArrow(_bands(bands, rows, seed), "rank struct<older:int,doc:string,idx:int>, band bigint")
+    return chunks.select("rank", hashes.alias("h")).mapInArrow(_bands(bands, rows), "rank struct<older:int,doc:string,idx:int>, band bigint")
 
 
-def greedy(members: DataFrame, most_rounds: int = 100) -> DataFrame:
+def greedy(members: DataFrame) -> DataFrame:
     """(rank, kept, of): chunks visited in order of rank, each kept unless an earlier kept one shares a band; `of` is the earliest such one.
 
-    Work is linear in (rank, band) rows: a round looks at each band's earliest kept and earliest undecided chunk only. A
-    chunk is removed once a band has an earlier kept one, and kept once it is the earliest undecided one of all its bands and
-    none has an earlier kept one. Rounds follow chains of dependence; each is written, so lineage stays short.
+    Work is linear in (rank, band) rows, and only those of chunks that share a band with another one go into rounds. A
+    round looks at each band's earliest kept and earliest undecided chunk: a chunk is removed once a band has an earlier
+    kept one, and kept once it is the earliest undecided one of all its bands and none has an earlier kept one. What is decided
+    leaves the state, but for the earliest kept chunk of each band. In each round the earliest undecided chunk of all is
+    decided, so rounds end; they follow chains of dependence. Each is written, so lineage stays short.
     """
-    state = written(members.withColumn("kept", F.lit(None).cast("boolean")), "greedy")
-    for _ in range(most_rounds):
-        tops = state.groupBy("band").agg(F.min(F.when(F.col("kept"), F.col("rank"))).alias("k"), F.min(F.when(F.col("kept").isNull(), F.col("rank"))).alias("u"))
-        seen = state.join(tops, "band").groupBy("rank").agg(
-            F.first("kept").alias("kept"),
-            F.min(F.when(F.col("k") < F.col("rank"), F.col("k"))).alias("of"),
-            F.min((F.col("u") >= F.col("rank")).cast("int")).alias("first"),
-        )
-        now = seen.select("rank", "of", F.coalesce("kept", F.when(F.col("of").isNotNull(), False).when(F.col("first") == 1, True)).alias("kept"))
+    crowd = members.groupBy("band").agg(F.count("*").alias("n"))
+    many = written(members.join(crowd.where("n > 1"), "band").select("rank", "band"), "greedy-shared")
+    state = many.withColumn("k", F.lit(None).cast(many.schema["rank"].dataType))
+    done = []
+    while True:
+        tops = state.groupBy("band").agg(F.min("rank").alias("u"))
+        seen = state.join(tops, "band").groupBy("rank").agg(F.min(F.when(F.col("k") < F.col("rank"), F.col("k"))).alias("of"), F.min((F.col("u") >= F.col("rank")).cast("int")).alias("first"))
+        now = seen.select("rank", F.when(F.col("of").isNotNull(), False).when(F.col("first") == 1, True).alias("kept"))
         now = written(now, "greedy-now")
-        if now.where(F.col("kept").isNull()).limit(1).count() == 0:
-            # a removed chunk's `of` is the earliest kept chunk of all its bands
-            final = state.drop("kept").join(now.select("rank", "kept"), "rank")
-            top = final.groupBy("band").agg(F.min(F.when(F.col("kept"), F.col("rank"))).alias("k"))
-            of = final.where(~F.col("kept")).join(top, "band").groupBy("rank").agg(F.min("k").alias("of"))
-            return now.select("rank", "kept").join(of, "rank", "left")
-        state = written(state.drop("kept").join(now.select("rank", "kept"), "rank"), "greedy")
-    raise RuntimeError("the chains of near copies are longer than most_rounds")
+        done.append(now.where("kept is not null"))
+        left = now.where("kept is null").select("rank")
+        if left.isEmpty():
+            break
+        # a band's earliest kept chunk is all that later ones need to know of it
+        news = many.join(now.where("kept").select("rank"), "rank").groupBy("band").agg(F.min("rank").alias("new"))
+        state = written(state.join(left, "rank", "left_semi").join(news, "band", "left").select("rank", "band", F.least("k", "new").alias("k")), "greedy")
+    decided = done[0]
+    for d in done[1:]:
+        decided = decided.unionByName(d)
+    decided = written(decided, "greedy-decided")
+    # a removed chunk's `of` is the earliest kept chunk of all its bands
+    final = many.join(decided, "rank")
+    top = final.groupBy("band").agg(F.min(F.when(F.col("kept"), F.col("rank"))).alias("k"))
+    of = final.where(~F.col("kept")).join(top, "band").groupBy("rank").agg(F.min("k").alias("of"))
+    every = members.select("rank").distinct().join(decided, "rank", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
+    return every.join(of, "rank", "left")
 
 
 def deduplicated(chunks: DataFrame) -> DataFrame:

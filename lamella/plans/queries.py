@@ -61,6 +61,10 @@ def near_dup_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.jaccard_pairs(clean.chunked(_docs(spark, sf)))
 
 
+def near_dup_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.jaccard_pairs(_chunks(spark, sf))
+
+
 def minhash_lsh_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.deduplicated(clean.chunked(_docs(spark, sf))).select("chunk_id", "doc_id", "reason")
 
@@ -209,11 +213,17 @@ def sentence_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_families(spark: SparkSession, sf: str) -> DataFrame:
-    return versions.families(_docs(spark, sf).where(F.length("text") >= 200))
+    return versions.families(_docs(spark, sf))
+
+
+def version_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each version of a family with the one after it, none after the last."""
+    docs = _docs(spark, sf)
+    return versions.next_versions(docs, versions.families(docs))
 
 
 def changelog_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf).where(F.length("text") >= 200)
+    docs = _docs(spark, sf)
     return versions.changelog(docs, versions.families(docs)).select("family", "from_id", "to_id", "unchanged", "substantive", "cosmetic")
 
 
@@ -238,7 +248,8 @@ def doctype_centroid(spark: SparkSession, sf: str) -> DataFrame:
 def doctype_classify(spark: SparkSession, sf: str) -> DataFrame:
     docs = written(_labelled(spark, sf), "labelled")
     cent, idf = search.centroids(docs, "source_file", "label")
-    return search.classified(docs, "source_file", cent, idf, docs, "label")
+    out = search.classified(docs, "source_file", cent, idf, docs, "label")
+    return out.select("source_file", "predicted", F.round("score", 6).alias("score"), F.round("margin", 6).alias("margin"), F.array_join("top", ",").alias("top"), "low_confidence")
 
 
 def doctype_held_out(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,12 +291,19 @@ def curated_output(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.curate(_docs(spark, sf)).records
 
 
+def curated_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole plan's chunks with what it says of each, as flat rows."""
+    own = pipeline.curate(_docs(spark, sf)).chunks
+    return own.select("chunk_id", "doc_id", "source_file", "text", "regulatory_tagged", F.array_join("regulatory_keywords_found", ",").alias("found"), "regulatory_density_score", "validation_flag", "pii_redacted")
+
+
 def curated_stages(spark: SparkSession, sf: str) -> DataFrame:
     stages = pipeline.curate(_docs(spark, sf)).stages
     out = stages[0]
     for s in stages[1:]:
         out = out.unionByName(s)
-    return pipeline.kept_share(out)
+    reasons = F.array_join(F.transform(F.array_sort(F.filter(F.map_entries("reason_counts"), lambda e: e["value"] > 0)), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",")
+    return pipeline.kept_share(out).withColumn("reason_counts", reasons).withColumn("kept_share", F.round("kept_share", 9))
 
 
 def curated_documents(spark: SparkSession, sf: str) -> DataFrame:
