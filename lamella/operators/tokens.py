@@ -26,10 +26,32 @@ def counter(encode: Callable[[str], list[int]]) -> Callable[[Column], Column]:
     return count
 
 
+def tokenizer(name: str) -> tuple[Callable[[Column], Column], str]:
+    """(count, name): words, or a file of a public byte-level vocabulary; one that can't be read counts words, and says so in the name."""
+    if name == "words":
+        return word_count, "words"
+    try:
+        import tiktoken
+        from tiktoken.load import load_tiktoken_bpe
+
+        ranks = load_tiktoken_bpe(name)
+    except (ImportError, OSError, ValueError):
+        return word_count, "words"
+    pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+    def encode(text: str) -> list[int]:
+        if "code" not in made:
+            made["code"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return made["code"].encode_ordinary(text)
+
+    made: dict[str, object] = {}
+    return counter(encode), name.replace("\\", "/").rsplit("/", 1)[-1].removesuffix(".tiktoken")
+
+
 def token_stats(chunks: DataFrame, count: Callable[[Column], Column] = word_count, name: str = "words") -> DataFrame:
-    """(source_file, chunks, tokens, tokenizer) in order of source_file."""
+    """(source_file, chunks, tokens, tokenizer)."""
     own = chunks.select("source_file", count(F.col("text")).alias("t"))
-    return own.groupBy("source_file").agg(F.count("*").alias("chunks"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens")).withColumn("tokenizer", F.lit(name)).orderBy("source_file")
+    return own.groupBy("source_file").agg(F.count("*").alias("chunks"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens")).withColumn("tokenizer", F.lit(name))
 
 
 def total(stats: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.functions import text as X
+from lamella.functions.joins import prefix_sums
 from lamella.operators import clean, dedup, filters, heal, quality, redact
 from lamella.session import written
 from lamella.sources import files
@@ -29,18 +30,26 @@ class EmptyStage(RuntimeError):
     """A stage let nothing through."""
 
 
-def curate(docs: DataFrame, language: str = "en", furniture: dict | None = None, keywords: list[str] = quality.KEYWORDS, cache: DataFrame | None = None, people=None, pages: DataFrame | None = None, compare: bool = False) -> Curated:
-    """Documents (doc_id, source_file, text, lang) to curated records.
+def some(rows: DataFrame, stage: str, stop: bool) -> DataFrame:
+    """rows, which are written; where `stop` is set and there are none, EmptyStage."""
+    if stop and rows.isEmpty():
+        raise EmptyStage(f"{stage} let nothing through")
+    return rows
+
+
+def curate(docs: DataFrame, language: str = "en", furniture: dict | None = None, keywords: list[str] = quality.KEYWORDS, cache: DataFrame | None = None, people=None, pages: DataFrame | None = None, compare: bool = False, stop: bool = False) -> Curated:
+    """Documents (doc_id, source_file, text, lang) to curated records; a stage that lets nothing through raises EmptyStage where `stop` is set.
 
     Documents are the unit up to healing, chunks from deduplication on. Stages that a later one reads more than once are
     written to the shared folder, so nothing is computed twice and a lost executor costs no stage.
     """
     one = clean.cleaned(docs, language=language)
-    kept = written(one.where("reason is null").drop("reason"), "cleaned")
+    kept = some(written(one.where("reason is null").drop("reason"), "cleaned"), "clean_langid", stop)
     well = written(heal.healed(kept.select("doc_id", "source_file", "text"), **(furniture or {})).select("doc_id", "source_file", "text"), "healed")
     two = written(dedup.deduplicated(clean.chunked(well)), "deduplicated")
     three = written(two.where("reason is null").drop("reason").withColumn("reason", quality.quality_reason("text")), "judged")
-    good = three.where("reason is null").drop("reason")
+    some(two.where("reason is null"), "dedup", stop)
+    good = some(three.where("reason is null").drop("reason"), "quality_filter", stop)
     tagged = quality.with_signal(quality.tagged(good, keywords), cache)
     if pages is not None:
         from lamella.operators.pages import located
@@ -73,11 +82,20 @@ def residual(records: DataFrame) -> DataFrame:
     return again.select("doc_id", F.explode("entities").alias("entity_type", "n")).select("doc_id", "entity_type")
 
 
-def joined_documents(records: DataFrame) -> DataFrame:
-    """(source_file, text): the chunks of each file joined by a space, in order."""
+def joined_documents(records: DataFrame, most: int = 8_000_000) -> DataFrame:
+    """(source_file, part, text): the chunks of each file joined by a space, in order, in parts that begin at every `most` code points.
+
+    A file, however large, is so many rows, none of which is larger than `most` and a chunk. Chunk numbers are numbered on
+    over a file's documents in order of their ids.
+    """
     idx = F.try_element_at(F.split("metadata.chunk_id", "__"), F.lit(-1)).cast("int")
-    own = records.select(F.col("metadata.source_file").alias("source_file"), F.struct(F.col("metadata.doc_id"), idx.alias("i"), "text").alias("c"))
-    return own.groupBy("source_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["text"]), " ").alias("text"))
+    own = records.select(F.col("metadata.source_file").alias("source_file"), F.col("metadata.doc_id").alias("doc_id"), idx.alias("i"), "text").withColumn("n", F.length("text") + 1)
+    sizes = own.groupBy("source_file", "doc_id").agg(F.sum("n").alias("all"))
+    begin = F.coalesce(F.sum("all").over(Window.partitionBy("source_file").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = prefix_sums(own, ["source_file", "doc_id"], "i", "n").join(sizes.select("source_file", "doc_id", begin.alias("begin")), ["source_file", "doc_id"])
+    placed = placed.withColumn("at", F.col("begin") + F.col("before")).withColumn("part", F.floor(F.col("at") / most))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda c: c["text"]), " ")
+    return placed.groupBy("source_file", "part").agg(text.alias("text"))
 
 
 def kept_share(stage: DataFrame) -> DataFrame:

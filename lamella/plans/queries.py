@@ -147,6 +147,11 @@ def pii_examples(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("entity_type", "nr", "doc_id", X.masked("entity_type", "before").alias("masked"))
 
 
+def pii_examples_published(spark: SparkSession, sf: str) -> DataFrame:
+    """The examples as they may be shown: values masked, contexts redacted."""
+    return redact.publishable_examples(redact.first_examples(redact.redacted(_chunks(spark, sf)).drop("doc_id"), "chunk_id"))
+
+
 def pii_stage_counters(spark: SparkSession, sf: str) -> DataFrame:
     return redact.stage_counters(redact.redacted(_chunks(spark, sf)))
 
@@ -307,7 +312,9 @@ def curated_stages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def curated_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.joined_documents(pipeline.curate(_docs(spark, sf)).records).select("source_file", F.length("text").alias("n_chars"))
+    joined = pipeline.joined_documents(pipeline.curate(_docs(spark, sf)).records)
+    # a space stands between parts as well
+    return joined.groupBy("source_file").agg((F.sum(F.length("text")) + F.count("*") - 1).cast("int").alias("n_chars"))
 
 
 def residual_entities(spark: SparkSession, sf: str) -> DataFrame:
