@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from lamella.llm.budget import budget, disagreeing
 from lamella.llm.encoding import decoded, encoded
@@ -37,6 +38,23 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
 
 
+def p2_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts again, made of their pieces: each up to where the next one begins."""
+    pieces = p2_pieces(spark, folder)
+    after = F.lead("start").over(Window.partitionBy("doc_id").orderBy("piece_no"))
+    cut = pieces.withColumn("after", after).select("doc_id", "piece_no", F.when(F.col("after").isNull(), F.col("text")).otherwise(F.expr("left(text, cast(after - start as int))")).alias("t"), F.length("text").alias("n"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_no", "t"))), lambda x: x["t"]), "")
+    return cut.groupBy("doc_id").agg(whole.alias("text"), (F.max("n") <= 8000).alias("fits"))
+
+
+def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_stats(spark, folder).select("chunk_id", "n_chars", "n_words", F.round("mean_word_length", 4).alias("mean_word_length"))
+
+
+def p6_words(spark: SparkSession, folder: str) -> DataFrame:
+    return budget(table(spark, folder, "documents"), table(spark, folder, "doc_labels"), "words")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     found = noise(table(spark, folder, "cleaned_docs").select("doc_id", "text"), "doc_id", "text")
     return found.select("doc_id", "line_no", "noise").distinct()
@@ -117,6 +135,19 @@ _RUN12 = r"""(select distinct %s id, unnest(case when len(w) >= 12 then list_tra
 def oracle_sql() -> dict[str, str]:
     """Exact searches, for the queries that SQL can express over whole tables."""
     return {
+        "p2_joined": "select distinct doc_id, text, true fits from cleaned_docs where text is not null and doc_id is not null",
+        "p4_counts": f"select distinct chunk_id, length(coalesce(text, '')) n_chars, len({_WORDS % "coalesce(text, '')"}) n_words, round(length(regexp_replace(coalesce(text, ''), '{_S}', '', 'g')) / greatest(len({_WORDS % "coalesce(text, '')"}), 1), 4) mean_word_length from chunks",
+        "p5_groups": f"""with recursive c as (select distinct chunk_id, {_WORDS % 'lower(text)'} w from chunks where text is not null),
+ s as (select distinct chunk_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [] end) g from c), n as (select chunk_id, count(*) n from s group by 1),
+ p as (select a.chunk_id a, b.chunk_id b, count(*) k from s a join s b on a.g = b.g and a.chunk_id < b.chunk_id group by 1, 2), e as (select a, b from p join n x on x.chunk_id = a join n y on y.chunk_id = b where k / (x.n + y.n - k) >= 0.75),
+ l as (select a, b from e union all select b, a from e), same as (select min(chunk_id) over (partition by text) a, chunk_id b from (select distinct chunk_id, text from chunks where text is not null)), q as (select a, b from l union select a, b from same union select b, a from same),
+ r(chunk_id, other) as (select a, a from q union select r.chunk_id, q.b from r join q on q.a = r.other), g as (select chunk_id, min(other) "group" from r group by 1) select chunk_id, "group", count(b) links from g left join l on l.a = chunk_id group by 1, 2""",
+        "p6_words": f"""with lab as (select source_file, min(lower(trim(label))) label from doc_labels where source_file is not null group by 1), d as (select source, lang, coalesce(domain, label) as domain, text, len({_WORDS % "coalesce(text, '')"}) n from documents left join lab using (source_file)),
+ o as (select source, lang, domain, count(*) docs, count(text) texts, sum(n) tokens, max(n) one from d group by source, lang, domain, text) select source, lang, domain, cast(sum(docs) as bigint) docs, cast(sum(texts) as bigint) texts, cast(sum(tokens) as bigint) tokens, cast(sum(one) as bigint) distinct_tokens from o group by 1, 2, 3""",
+        "p10_shared": """with t as (select distinct doc_id, text from documents where length(text) >= 400), w as (select doc_id, i, md5_number(substr(text, i, 400)) h from (select doc_id, text, unnest(range(1, length(text) - 398)) i from t)),
+ many as (select h from w group by h having count(distinct doc_id) > 1), hit as (select doc_id, i from w semi join many using (h)), gaps as (select doc_id, i, lag(i) over (partition by doc_id order by i) p from hit),
+ sums as (select doc_id, count(*) filter (where p is null or i - p > 400) spans, cast(sum(case when p is null then 400 else least(i - p, 400) end) as bigint) shared from gaps group by 1)
+ select doc_id, length(text) n_chars, coalesce(spans, 0) spans, coalesce(sums.shared, 0) shared_chars, round(coalesce(sums.shared, 0) / length(text), 6) shared from t left join sums using (doc_id)""",
         "p2_found": "select distinct doc_id from cleaned_docs where length(text) > 8000",
         "p5_found": f"""with c as (select distinct chunk_id, {_WORDS % 'lower(text)'} w from chunks where text is not null),
  s as (select distinct chunk_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [] end) g from c), n as (select chunk_id, count(*) n from s group by 1),
