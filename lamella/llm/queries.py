@@ -48,7 +48,7 @@ def p2_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return p4_stats(spark, folder).select("chunk_id", "n_chars", "n_words", F.round("mean_word_length", 4).alias("mean_word_length"))
+    return p4_stats(spark, folder).select("chunk_id", "n_chars", "n_words", F.round(F.col("mean_word_length") * F.col("n_words")).cast("bigint").alias("n_solid"))
 
 
 def p6_words(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,7 +136,7 @@ def oracle_sql() -> dict[str, str]:
     """Exact searches, for the queries that SQL can express over whole tables."""
     return {
         "p2_joined": "select distinct doc_id, text, true fits from cleaned_docs where text is not null and doc_id is not null",
-        "p4_counts": f"select distinct chunk_id, length(coalesce(text, '')) n_chars, len({_WORDS % "coalesce(text, '')"}) n_words, round(length(regexp_replace(coalesce(text, ''), '{_S}', '', 'g')) / greatest(len({_WORDS % "coalesce(text, '')"}), 1), 4) mean_word_length from chunks",
+        "p4_counts": f"select distinct chunk_id, length(coalesce(text, '')) n_chars, len({_WORDS % "coalesce(text, '')"}) n_words, length(regexp_replace(coalesce(text, ''), '{_S}', '', 'g')) n_solid from chunks",
         "p5_groups": f"""with recursive c as (select distinct chunk_id, {_WORDS % 'lower(text)'} w from chunks where text is not null),
  s as (select distinct chunk_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) else [] end) g from c), n as (select chunk_id, count(*) n from s group by 1),
  p as (select a.chunk_id a, b.chunk_id b, count(*) k from s a join s b on a.g = b.g and a.chunk_id < b.chunk_id group by 1, 2), e as (select a, b from p join n x on x.chunk_id = a join n y on y.chunk_id = b where k / (x.n + y.n - k) >= 0.75),
