@@ -131,26 +131,22 @@ def divergence(p: np.ndarray) -> np.ndarray:
     return out
 
 
-_TABLE: dict[str, np.ndarray] = {}
 _CACHE: dict[int, int] = {}
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: 1 letter, 2 mark, 3 digit, 4 white, 5 sentence end, 0 other; and upper-case-or-caseless starts."""
-    if "kind" not in _TABLE:
-        kind = np.zeros(0x10000, np.uint8)
-        upper = np.zeros(0x10000, bool)
-        for i in range(0x10000):
-            c = chr(i)
-            g = unicodedata.category(c)
-            kind[i] = 1 if g[0] == "L" else 2 if g[0] == "M" else 3 if g == "Nd" else 0
-            upper[i] = g in ("Lu", "Lt", "Nd", "Lo") or c in "([*-•<|"
-        for c in flat.WHITE:
-            kind[ord(c)] = 4
-        for c in ".!?।॥":
-            kind[ord(c)] = 5
-        _TABLE["kind"], _TABLE["upper"] = kind, upper
-    return _TABLE["kind"], _TABLE["upper"]
+def _kind(c: str) -> int:
+    """1 letter, 2 mark, 3 digit, 4 white, 5 sentence end, 0 other."""
+    if c in flat.WHITE:
+        return 4
+    if c in ".!?।॥":
+        return 5
+    g = unicodedata.category(c)
+    return 1 if g[0] == "L" else 2 if g[0] == "M" else 3 if g == "Nd" else 0
+
+
+_KINDS_OF = flat.Classes(_kind)
+#: Signs that a new line or item begins with: capitals, letters without case, digits, brackets and bullets.
+_STARTS = flat.Classes(lambda c: unicodedata.category(c) in ("Lu", "Lt", "Nd", "Lo") or c in "([*-•<|")
 
 
 #: The columns of stats_of(), one row a text.
@@ -159,12 +155,11 @@ STATS = ["n_chars", "n_words", "mean_word_length", "symbol_ratio", "digit_ratio"
 
 def stats_of(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[str]]:
     """Statistics and the nearest profile's kind of every text (null and blank texts have kind 'empty')."""
-    kind_table, upper_table = _tables()
     parts: list[dict[str, np.ndarray]] = []
     names: list[str] = []
     for lo, hi, cps, bounds in flat.blocks(texts):
         n = hi - lo
-        kind = kind_table[np.minimum(cps, 0xFFFF)]
+        kind = _KINDS_OF(cps)
         row_of = np.repeat(np.arange(n), np.diff(bounds))
 
         def per_row(mask: np.ndarray) -> np.ndarray:
@@ -223,7 +218,7 @@ def stats_of(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[str]]:
         terminated = np.bincount(lrow[ends], minlength=n)
         fresh = np.zeros(len(lrow), bool)
         if len(lrow) > 1:
-            start_new = upper_table[np.minimum(cps[first_at[1:]], 0xFFFF)]
+            start_new = _STARTS(cps[first_at[1:]]) > 0
             short = (last_at[:-1] - first_at[:-1]) < 60
             # a wrapped line ends near the margin of its text: the longest line within a fifth
             width = np.zeros(n, np.int64)

@@ -85,3 +85,31 @@ def test_items_of_all_sizes_have_a_least_number_of_values():
     assert s["shingles"].tolist() == s["size"].tolist() == [0, 1, 9, 189] and s["fewest"].tolist() == [1, 1, 1, 1]
     t = sketches(items, 12, 0.8)
     assert t["size"].tolist() == [0, 1, 4, 52] and t["fewest"].tolist() == [1, 1, 3, 15]
+
+
+def test_letters_of_all_planes_are_letters():
+    import numpy as np
+    import pyarrow as pa
+
+    from lamella.llm import language, prose
+
+    assert prose._KINDS_OF(np.array([0x11013, 0x11038, 0x11066, 0x1F600, 32])).tolist() == [1, 2, 3, 0, 4]
+    assert language._LETTERS(np.array([0x11013, 0x1F600])).tolist() == [1, 0]
+    stats, _ = prose.stats_of(pa.array(["\U00011013\U00011015 \U00011066"]))
+    assert stats["symbol_ratio"][0] == 0 and round(float(stats["digit_ratio"][0]), 6) == 0.333333
+
+
+def test_hindi_in_latin_letters_begins_with_what_no_other_language_explains():
+    from collections import Counter
+
+    import numpy as np
+
+    from lamella.llm import language
+
+    en, hi = Counter({"bank": 9, "record": 9}), Counter({"khata": 9, "nideshak": 9})
+    rows, others = [("hi-Latn", hi), ("hi-Latn", en)], [*[("en", en)] * 9, ("en", hi), ("bn", Counter({"ব্যাংক": 9}))]
+    good, bad = [2.0] + [0.0] * 8, [-2.0] + [-3.0] * 8
+    letters = {id(en): 90, id(hi): 117}
+    scores = np.array([np.array(bad if bag is hi else good) * letters.get(id(bag), 50) for _, bag in rows + others])
+    got = language.begun(rows, others, scores)
+    assert [k for k, bag in got if bag is hi] == ["hi-Latn", "hi-Latn"] and [k for k, bag in got if bag is en] == ["en"] * 9
