@@ -146,6 +146,12 @@ def oracle_sql() -> dict[str, str]:
         "pii_eval_public": f"with {_GOLD} select id, t entity_type, count(*) found from (select gold.id, {_PLACES.replace('(text', '(red.text')} t from gold join red using (k) where gold.kind = 'public') group by 1, 2",
         "normalize_text": f"with {_DOCS} select doc_id, {_NORMAL} as text from docs",
         "clean_filter": f"with {_CLEAN} select doc_id, cast(char_count as int) char_count, reason from judged",
+        "detect_language": r"""with c as (select doc_id, lang, text, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{M}]+', ' ', 'g'), ''), lambda x: x <> '') a, list_filter(string_split(regexp_replace(lower(substr(coalesce(text, ''), 1, 3000)), '[^\p{L}\p{M}]+', ' ', 'g'), ''), lambda x: x <> '') b from documents),
+ tr as (select lang, unnest(list_transform(range(1, len(a) - 1), lambda i: array_to_string(a[i : i + 2], ''))) g from c where lang is not null and text is not null and len(a) >= 3), n as (select lang, g, count(*) n from tr group by 1, 2), tot as (select lang, sum(n) total from n group by 1),
+ prof as (select lang, g, ln(n + 1.0) weight from (select *, row_number() over (partition by lang order by n desc, g) r from n) where r <= 1000),
+ own as (select doc_id, g, count(*) n from (select doc_id, unnest(list_transform(range(1, len(b) - 1), lambda i: array_to_string(b[i : i + 2], ''))) g from c where len(b) >= 3) group by 1, 2), sz as (select doc_id, sum(n) al from own group by 1),
+ sc as (select doc_id, lang, round(sum(own.n * weight) + max(al) * -ln(max(total) + 1000.0), 6) score from own join prof using (g) join sz using (doc_id) join tot using (lang) group by 1, 2), best as (select doc_id, lang from (select *, row_number() over (partition by doc_id order by score desc, lang) r from sc) where r = 1)
+ select documents.doc_id, coalesce(best.lang, 'unknown') lang from documents left join best on best.doc_id = documents.doc_id""",
         "clean_reasons": f"with {_CLEAN}, k as (select unnest(['too_short', 'non_english']) reason) select (select count(*) from judged) docs_in, (select count(*) from judged where reason is null) docs_out, (select count(*) from judged where reason is not null) removed, k.reason, (select count(*) from judged j where j.reason = k.reason) n from k",
         "chunk_documents": f"with {_CUT} select doc_id || '__' || idx as chunk_id, doc_id, idx, text from cut",
         "exact_dedup": f"with {_CUT}, y as (select d.doc_id, {_YEAR_TEXT} yr from docs d), r as (select cut.*, sha256(text) hash, row_number() over (partition by text order by -yr, cut.doc_id, idx) rn from cut join y using (doc_id)) select doc_id || '__' || idx as chunk_id, hash from r where rn = 1",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.functions import text as X
-from lamella.operators import clean, dedup, evaluate, filters, heal, quality, redact, search, tokens, versions
+from lamella.operators import clean, dedup, evaluate, filters, heal, langid, quality, redact, search, tokens, versions
 from lamella.operators.pages import located
 from lamella.plans import pipeline
 from lamella.session import written
@@ -44,6 +44,12 @@ def clean_filter(spark: SparkSession, sf: str) -> DataFrame:
     return clean.cleaned(_docs(spark, sf)).select("doc_id", "char_count", "reason")
 
 
+def detect_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's language by profiles of the labelled ones."""
+    docs = table(spark, sf, "documents")
+    return langid.detected(docs, "doc_id", "text", written(langid.profiles(docs.select("text", "lang")), "profiles"))
+
+
 def clean_reasons(spark: SparkSession, sf: str) -> DataFrame:
     record = clean.stage_record("clean_langid", clean.cleaned(_docs(spark, sf)), known=("too_short", "non_english"))
     return record.select("docs_in", "docs_out", "removed", F.explode("reason_counts").alias("reason", "n"))

@@ -154,3 +154,13 @@ def test_report_of_the_labelled_set(spark, tmp_path):
     at.write_text(text)
     assert not evaluate.stale(text, str(at)) and "| EMAIL | 1 | 1 | 0 | 0 |" in text
     assert {(r.id, r.problem) for r in evaluate.invalid(gold).collect()} == {("3", "unknown type")}
+
+
+def test_language_by_trigrams(spark):
+    from lamella.operators import langid
+
+    en, fr = "the bank keeps a record of the account", "la banque garde une copie du dossier"
+    known = spark.createDataFrame([(en, "en"), (fr, "fr"), (None, "en"), (en, None)], "text string, lang string")
+    texts = spark.createDataFrame([(1, "The record of the bank."), (2, "Une copie de la banque"), (3, None), (4, "12"), (5, "漢字漢字")], "k int, text string")
+    got = {r.k: r.lang for r in langid.detected(texts, "k", "text", langid.profiles(known)).collect()}
+    assert got == {1: "en", 2: "fr", 3: "unknown", 4: "unknown", 5: "unknown"}
