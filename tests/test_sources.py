@@ -4,8 +4,7 @@ import os
 import pytest
 
 from lamella import cli
-from lamella.operators import tokens
-from lamella.plans.pipeline import curate
+from lamella.operators import clean, dedup, quality, redact, tokens
 from lamella.sources import files
 from lamella.streaming.curation import curated_stream, write_stream
 
@@ -99,11 +98,15 @@ def test_cli(spark, tmp_path, capsys):
 
 def test_stream_equals_batch_for_stateless_stages(spark, tmp_path):
     r = "Every branch reviews the accounts of its customers once a year and writes down what it found there for the auditor. "
-    rows = [(str(i), f"{i}.pdf", (r + f"unit number {i} ") * 3, "en", f"2025-01-0{i + 1} 00:00:00") for i in range(4)] + [("9", "9.pdf", (r + "unit number 0 ") * 3, "en", "2025-01-01 01:00:00")]
+    rows = [(str(i), f"{i}.pdf", (r + f"unit number {i}, unit{i}@site.org ") * 3, "en", f"2025-01-0{i + 1} 00:00:00") for i in range(4)] + [("9", "9.pdf", (r + "unit number 0, unit0@site.org ") * 3, "en", "2025-01-01 01:00:00")]
     df = spark.createDataFrame(rows, "doc_id string, source_file string, text string, lang string, at string").selectExpr("doc_id", "source_file", "text", "lang", "cast(at as timestamp) arrived")
     df.write.parquet(str(tmp_path / "in"))
     stream = curated_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "arrived")
     write_stream(stream.select("chunk_id", "doc_id", "text"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.schema("chunk_id string, doc_id string, text string").parquet(str(tmp_path / "out"))
-    batch = curate(df.drop("arrived"))
-    assert got.count() == 4 and batch.chunks.count() >= 1
+    good = dedup.exact(clean.chunked(clean.cleaned(df.drop("arrived")).where("reason is null"))).where("kept")
+    batch = redact.redacted(quality.tagged(good.where(quality.quality_reason("text").isNull()))).select("chunk_id", "doc_id", "text")
+    streamed, whole = ({r.chunk_id: r.text for r in x.collect()} for x in (got, batch))
+    assert sorted(streamed.values()) == sorted(whole.values()) and len(streamed) == 4 and all("[REDACTED_EMAIL]" in t for t in streamed.values())
+    # of the two copies either may be the first to come
+    assert {k: v for k, v in streamed.items() if k[0] not in "09"} == {k: v for k, v in whole.items() if k[0] not in "09"}
