@@ -24,7 +24,8 @@ def exact(chunks: DataFrame) -> DataFrame:
     The first copy is found by an aggregation that is combined before the shuffle; the join back has hash and rank as its
     keys, so a text that is a third of all chunks is spread over all partitions.
     """
-    own = chunks.withColumn("rank", rank()).withColumn("hash", F.sha2("text", 256))
+    # written, as both the aggregation and the join read it: texts are cut into chunks and hashed once
+    own = written(chunks.withColumn("rank", rank()).withColumn("hash", F.sha2("text", 256)), "hashed")
     firsts = own.groupBy("hash").agg(F.min("rank").alias("rank")).withColumn("kept", F.lit(True))
     return own.join(firsts, ["hash", "rank"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
 
@@ -101,7 +102,7 @@ def greedy(members: DataFrame) -> DataFrame:
 
 def deduplicated(chunks: DataFrame) -> DataFrame:
     """chunks with `reason`: null where kept, else exact_duplicate, cross_doc_boilerplate or intra_doc_near_duplicate."""
-    own = written(exact(chunks), "exact")
+    own = exact(chunks)
     near = greedy(banded(own.where("kept").select("rank", "text")))
     label = F.when(F.col("of.doc") == F.col("doc_id"), "intra_doc_near_duplicate").otherwise("cross_doc_boilerplate")
     out = own.withColumnRenamed("kept", "single").join(near, "rank", "left")
