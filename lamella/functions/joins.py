@@ -37,3 +37,9 @@ def prefix_sums(rows: DataFrame, by: list[str], order: str, value: str, block: i
     sums = sums.select(*by, "_block", F.coalesce(earlier, F.lit(0)).alias("_earlier"))
     within = F.sum(value).over(Window.partitionBy(*by, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     return cut.join(sums, [*by, "_block"]).withColumn("before", F.coalesce(within, F.lit(0)) + F.col("_earlier")).drop("_block", "_earlier")
+
+
+def few_join(rows: DataFrame, keys: DataFrame, on: str, most: int = 1_000_000) -> DataFrame:
+    """rows whose `on`, a whole number, is among the keys: where these are at most `most`, rows stay where they are."""
+    few = keys.limit(most + 1).count() <= most
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")

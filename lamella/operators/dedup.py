@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamella.functions import text as X
+from lamella.functions.joins import few_join
 from lamella.operators.clean import rank
 from lamella.session import written
 
@@ -109,25 +110,107 @@ def deduplicated(chunks: DataFrame) -> DataFrame:
     return out.withColumn("reason", F.when(~F.col("single"), "exact_duplicate").when(~F.col("kept"), label)).drop("single", "kept", "of", "hash")
 
 
-def jaccard_pairs(chunks: DataFrame, key: str = "chunk_id", least: float = 0.8) -> DataFrame:
+#: A run of words is known by so many bits of a hash where sets are compared before they are fetched.
+BITS = 49
+
+
+def runs(lists: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the runs of `size` words, given as lists of the words' hashes: one run, of all words, where there are fewer."""
+    values, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
+    n = np.maximum(np.diff(ends) - size + 1, 1)
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + ends[:-1][row]
+    values = np.append(values, np.uint64(0))
+    out = np.zeros(len(row), np.uint64)
+    for k in range(size):
+        there = at + k < ends[1:][row]
+        word = np.where(there, values[np.minimum(at + k, len(values) - 1)], np.uint64(0x9E3779B97F4A7C15))
+        out = (out ^ word) * np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(29)
+    out *= np.uint64(0x94D049BB133111EB)
+    return row, (out ^ (out >> np.uint64(32))) >> np.uint64(64 - BITS)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of so few rows that a row's number and a run fit into 64 bits."""
+    for b in batches:
+        for start in range(0, len(b), 1 << 14):
+            yield b.slice(start, 1 << 14)
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, c): runs that come more than once in a batch."""
+    for b in _rows(batches):
+        row, x = runs(b.column("w"))
+        own = np.unique((row.astype(np.uint64) << np.uint64(BITS)) | x) & np.uint64((1 << BITS) - 1)
+        x, c = np.unique(own, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(x[c > 1].astype(np.int64)), pa.array(c[c > 1])], ["x", "c"])
+
+
+def _prefixes(common: np.ndarray, least: float):
+    """(x, id, n, i, b0, b1): of each set its first runs in one order of all runs, `common` ones (in order of rarity) last; n is the set's size, i the place, b0 and b1 128 parities of the set."""
+    by_hash = np.argsort(common)
+    sorted_common = common[by_hash].astype(np.uint64)
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _rows(batches):
+            # copies in a batch are one
+            b = b.take(pa.array(np.unique(b.column("id").to_numpy(), return_index=True)[1]))
+            row, x = runs(b.column("w"))
+            if len(sorted_common):
+                at = np.minimum(np.searchsorted(sorted_common, x), len(sorted_common) - 1)
+                x = np.where(sorted_common[at] == x, np.uint64(1 << BITS) + by_hash[at].astype(np.uint64), x)
+            own = np.unique((row.astype(np.uint64) << np.uint64(BITS + 1)) | x)
+            row, x = (own >> np.uint64(BITS + 1)).astype(np.int64), own & np.uint64((1 << (BITS + 1)) - 1)
+            n = np.bincount(row, minlength=len(b))
+            i = np.arange(len(row)) - (np.cumsum(n) - n)[row] + 1
+            bit = ((x * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(57)).astype(np.int64)
+            odd = np.bincount(row * 128 + bit, minlength=len(b) * 128).reshape(-1, 128) & 1
+            parity = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+            keep = i <= n[row] - np.ceil(least * n[row] - 1e-9) + 1
+            row = row[keep]
+            ids = b.column("id").to_numpy()
+            columns = x[keep].astype(np.int64), ids[row], n[row].astype(np.int32), i[keep].astype(np.int32), parity[row, 0], parity[row, 1]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["x", "id", "n", "i", "b0", "b1"])
+
+    return go
+
+
+def jaccard_pairs(chunks: DataFrame, key: str = "chunk_id", least: float = 0.8, common: int = 1 << 18) -> DataFrame:
     """(key_a, key_b, similarity) of pairs of different texts whose runs of five words are at least `least` alike, exactly.
 
-    Prefix filter: with shingles in order of rarity, two such sets share one of the first n - ceil(least * n) + 1 of
-    either; only those rare ones are joined, so frequent shingles never meet.
+    Prefix filter: with runs in one order, two such sets share one of the first n - ceil(least * n) + 1 of either. Only
+    those are moved, as numbers. The order decides how many sets meet, not which pairs are found: the `common` runs that
+    come most often in the same batches are its end, so frequent ones rarely meet. Pairs that meet are judged by what the
+    place of the first run they share leaves, and by 128 parities of each set (the sets differ in at least as many runs
+    as their parities do); only the texts of those that remain are fetched and compared.
     """
-    sets = chunks.groupBy(F.sha2("text", 256).alias("h")).agg(F.min(key).alias(key), F.first("text").alias("text"))
-    sets = sets.select(key, F.transform(X.shingles(X.words(F.lower("text"))), lambda s: F.xxhash64(s)).alias("s"))
-    sets = sets.withColumn("n", F.size("s"))
-    flat = sets.select(key, "n", F.explode("s").alias("x"))
-    counts = flat.groupBy("x").agg(F.count("*").alias("df"))
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(key).orderBy("df", "x")
-    rare = flat.join(counts, "x").withColumn("r", F.row_number().over(order)).where((F.col("r") <= F.col("n") - F.ceil(least * F.col("n")) + 1) & (F.col("df") > 1))
-    a, b = rare.select("x", F.col(key).alias("a"), F.col("n").alias("na")), rare.select("x", F.col(key).alias("b"), F.col("n").alias("nb"))
-    close = F.least("na", "nb") >= least * F.greatest("na", "nb")
-    cand = a.join(b, "x").where((F.col("a") < F.col("b")) & close).select("a", "b").distinct()
-    full = cand.join(sets.select(F.col(key).alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col(key).alias("b"), F.col("s").alias("sb")), "b")
-    both = F.size(F.array_intersect("sa", "sb"))
-    j = both / (F.size("sa") + F.size("sb") - both)
-    return full.withColumn("similarity", j).where(F.col("similarity") >= least).select(F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b"), F.round("similarity", 6).alias("similarity"))
+    words = F.transform(X.words(F.lower("text")), lambda w: F.xxhash64(w))
+    own = chunks.where("text is not null").select(key, "text", F.xxhash64("text").alias("id"))
+    hashed = own.select("id", words.alias("w"))
+    often = written(hashed.select("w").mapInArrow(_often, "x bigint, c bigint").groupBy("x").agg(F.sum("c").alias("c")), "runs-often")
+    # at most `common` of them are sent to all: those that come at least `most` times
+    taken, most = 0, None
+    for c, n in often.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).toLocalIterator():
+        taken += n
+        if taken > common:
+            break
+        most = c
+    last = often.where(F.col("c") >= most).orderBy("c", "x").select("x").toArrow()["x"].to_numpy() if most else np.zeros(0, np.int64)
+    sets = hashed.mapInArrow(_prefixes(last, least), "x bigint, id bigint, n int, i int, b0 bigint, b1 bigint").repartition("x").distinct()
+    names = ["id", "n", "i", "b0", "b1"]
+    a, b = (sets.select("x", *(F.col(c).alias(f"{c}_{s}") for c in names)) for s in "ab")
+    total = F.col("n_a") + F.col("n_b")
+    close = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b")
+    reach = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= least / (1 + least) * total - 1e-6
+    apart = F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))) + F.bit_count(F.col("b1_a").bitwiseXOR(F.col("b1_b"))) <= (1 - least) / (1 + least) * total + 1e-6
+    cand = written(a.join(b, "x").where((F.col("id_a") < F.col("id_b")) & close & reach & apart).select("id_a", "id_b").distinct(), "runs-met")
+    met = cand.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    texts = few_join(own, met, "id").groupBy("id", F.sha2("text", 256).alias("h")).agg(F.min(key).alias(key), F.first("text").alias("text"))
+    full = written(texts.select("id", key, F.transform(X.shingles(X.words(F.lower("text"))), lambda s: F.xxhash64(s)).alias("s")), "runs-full")
+    pairs = cand
+    for side in "ab":
+        pairs = pairs.join(full.select(F.col("id").alias(f"id_{side}"), F.col(key).alias(f"k_{side}"), F.col("s").alias(f"s_{side}")), f"id_{side}")
+    both = F.size(F.array_intersect("s_a", "s_b"))
+    j = both / (F.size("s_a") + F.size("s_b") - both)
+    return pairs.withColumn("similarity", j).where(F.col("similarity") >= least).select(F.least("k_a", "k_b").alias(f"{key}_a"), F.greatest("k_a", "k_b").alias(f"{key}_b"), F.round("similarity", 6).alias("similarity"))

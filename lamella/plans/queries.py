@@ -68,7 +68,8 @@ def near_dup_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_dup_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.jaccard_pairs(_chunks(spark, sf))
+    # rows that are sent again change nothing: texts are compared, each under its least id
+    return dedup.jaccard_pairs(table(spark, sf, "chunks").select("chunk_id", "text"))
 
 
 def minhash_lsh_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 from test_operators import brute_held_out
 
-from lamella.operators import search
+from lamella.operators import dedup, search
 
 
 def moved(spark, run) -> int:
@@ -46,3 +46,31 @@ def test_held_out_with_few_terms_sent(spark):
     assert {r.source_file: tuple(r) for r in got} == full
     nonempty = docs.where("text <> ''")
     assert {r.source_file: r.predicted for r in search.held_out(nonempty, "source_file", "label", group, entries=60).collect()} == {k: v[0] for k, v in want.items()}
+
+
+def test_near_copies_move_less_than_they_read(spark):
+    r = random.Random(3)
+    rows = []
+    for i in range(300):
+        text = [f"word{r.randrange(300)}" for _ in range(r.choice([1, 3, 6, 60, 150]))]
+        rows.append((f"c{i:03}", " ".join(text)))
+        if i % 5 == 0:
+            text[len(text) // 2] = "changed"
+            rows += [(f"d{i:03}", " ".join(text)), (f"e{i:03}", "  ".join(text).upper())]
+    rows += [("copy", rows[0][1]), ("blank", " "), ("tabs", "\t"), ("none", None)]
+
+    def runs(text):
+        w = text.lower().split()
+        return {" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, 1))}
+
+    first = {}
+    for k, t in sorted((k, t) for k, t in rows if t is not None):
+        first.setdefault(t, k)
+    sets = sorted((k, runs(t)) for t, k in first.items())
+    want = {(a, b, round(len(x & y) / len(x | y), 6)) for n, (a, x) in enumerate(sets) for b, y in sets[n + 1 :] if len(x & y) >= 0.8 * len(x | y)}
+    chunks = spark.createDataFrame(rows, "chunk_id string, text string").coalesce(1)
+    got = []
+    bytes_moved = moved(spark, lambda: got.extend(map(tuple, dedup.jaccard_pairs(chunks).collect())))
+    assert len(got) == len(want) and set(got) == want and ("blank", "tabs", 1.0) in want
+    assert bytes_moved < 2.5 * sum(len(t or "") for _, t in rows)
+    assert set(map(tuple, dedup.jaccard_pairs(chunks, common=5).collect())) == want
