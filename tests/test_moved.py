@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_operators import brute_held_out
 
 from lamella.operators import dedup, search
+from lamella.plans import queries
 
 
 def moved(spark, run) -> int:
@@ -74,3 +75,20 @@ def test_near_copies_move_less_than_they_read(spark):
     assert len(got) == len(want) and set(got) == want and ("blank", "tabs", 1.0) in want
     assert bytes_moved < 2.5 * sum(len(t or "") for _, t in rows)
     assert set(map(tuple, dedup.jaccard_pairs(chunks, common=5).collect())) == want
+
+
+def test_labelled_files_are_moved_once(spark, tmp_path):
+    r = random.Random(4)
+    text = {k: t for k, _, t in labelled(r, 200)}
+    rows = [(k, f"{k}.pdf", t) for k, t in text.items()]
+    # sent again, several records of one file, no name in one of two rows, no text
+    rows += [rows[0], ("f001", "f001.pdf", "a " + text["f001"]), ("other", "f002.pdf", "a " + text["f002"]), ("f003", None, text["f003"]), ("f004", "f004.pdf", None), ("nameless", None, "words")]
+    spark.createDataFrame(rows, "doc_id string, source_file string, text string").coalesce(1).write.parquet(f"{tmp_path}/cleaned_docs.parquet")
+    labels = [(f"{k}.pdf", " ABC"[1 + i % 3] + " ", "p") for i, k in enumerate(text) if k != "f005"]
+    spark.createDataFrame([*labels, ("f006.pdf", None, None), ("f007.pdf", "a", "o")], "source_file string, label string, source string").write.parquet(f"{tmp_path}/doc_labels.parquet")
+    got = {x.source_file: x for x in queries._labelled(spark, str(tmp_path)).collect()}
+    assert set(got) == {f"{k}.pdf" for k in text if k != "f005"}
+    assert {k: x.text for k, x in got.items()} == {f"{k}.pdf": ("a " if k in ("f001", "f002") else "") + t for k, t in text.items() if k != "f005"}
+    assert got["f007.pdf"].label == "a" and got["f007.pdf"].source == "o" and got["f000.pdf"].label == "a"
+    bytes_moved = moved(spark, lambda: queries.doctype_held_out(spark, str(tmp_path)).collect())
+    assert bytes_moved < 2.5 * sum(map(len, text.values()))
